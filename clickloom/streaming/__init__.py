@@ -1,0 +1,5 @@
+"""Empty on purpose: every job is a daily batch.
+
+Late rows are picked up because each run reads history up to its run date and
+merges it (see ``operators.merge``), so nothing here keeps streaming state.
+"""
