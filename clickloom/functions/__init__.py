@@ -11,7 +11,7 @@ from clickloom.functions.clock import (
     shard_name,
     utc_date,
 )
-from clickloom.functions.params import no_repeated_key, param, param_num
+from clickloom.functions.params import param, param_num, single_valued
 from clickloom.functions.values import (
     any_value,
     if_,
@@ -32,12 +32,12 @@ __all__ = [
     "local_datetime",
     "micros_to_seconds",
     "micros_to_ts",
-    "no_repeated_key",
     "param",
     "param_num",
     "parse_day",
     "plain_double",
     "shard_day",
     "shard_name",
+    "single_valued",
     "utc_date",
 ]

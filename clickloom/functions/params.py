@@ -34,11 +34,13 @@ def param_num(params: Column, key: str) -> Column:
     )
 
 
-def no_repeated_key(params: Column, keys: Iterable[str]) -> Column:
-    """True; raises if one of ``keys`` occurs twice in one list.
+def single_valued(params: Column, keys: Iterable[str], value: Column) -> Column:
+    """``value``, or an error if one of ``keys`` occurs twice in the list.
 
-    A look-up by key must find one value at most. The cheap test (any repeated
-    key at all) is made first, so the exact one runs for odd rows only.
+    A look-up by key must find one value at most. The cheap test (any repeated key
+    at all) is made first, so the exact one runs for odd rows only. The check rides
+    on a value instead of being a filter: it then shares the key list with the
+    look-ups beside it, and is not copied into the scan.
     """
     names = params.getField("key")
     repeated = [
@@ -47,7 +49,7 @@ def no_repeated_key(params: Column, keys: Iterable[str]) -> Column:
     culprit = F.coalesce(*repeated, F.lit(None).cast("string"))
     suspicious = F.size(F.array_distinct(names)) < F.size(names)
     message = F.concat(F.lit("more than one value for parameter "), culprit)
-    return F.when(suspicious & culprit.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True)
+    return F.when(suspicious & culprit.isNotNull(), F.raise_error(message)).otherwise(value)
 
 
 def all_of(conditions: Iterable[Column]) -> Column:

@@ -197,9 +197,14 @@ def merge_insert_only(
     return target.unionByName(changes(target, source, spec).drop("_insert"))
 
 
-def merge_table(spark: SparkSession, name: str, source: DataFrame, spec: MergeSpec) -> None:
+def merge_table(
+    spark: SparkSession, name: str, source: DataFrame, spec: MergeSpec, cheap_source: bool = False
+) -> None:
     """Merge ``source`` into the table ``name``.
 
+    A source that is read more than once is written out first, unless
+    ``cheap_source`` says it is a plain scan.
+
     Partitions holding an updated row are rewritten from a staged copy, all else is
     an append, so a run that fails between the two can be run again. Swapping
     several partitions is not one atomic step; an unpartitioned table is switched to
@@ -210,7 +215,7 @@ def merge_table(spark: SparkSession, name: str, source: DataFrame, spec: MergeSp
     work = fresh_dir(spark, "merge")
     partitioned = tables.partition_columns(spark, name)
     try:
-        if not spec.unique_source:
+        if not spec.unique_source and not cheap_source:
             # Read twice below: by the look for hot keys and NULL keys, and by the join.
             source = stage(source, "source", f"{work}/source")
         change = stage(changes(target, source, spec), "changes", f"{work}/changes")

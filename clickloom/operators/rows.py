@@ -107,12 +107,9 @@ def preview(df: DataFrame, n: int = 10) -> DataFrame:
 
 
 def table_stats(df: DataFrame, key: str, n: int = 5) -> DataFrame:
-    """The first ``n`` rows by ``key``, each with the row count of the whole table.
-
-    The count is one row by construction, so attaching it is a one-row broadcast.
-    """
-    total = df.agg(F.count(F.lit(1)).alias("row_count"))
-    return df.orderBy(key).limit(n).join(F.broadcast(total), F.lit(True), "left").orderBy(key)
+    """The first ``n`` rows by ``key``, each with the row count of the whole table."""
+    total = df.agg(F.count(F.lit(1)))
+    return df.orderBy(key).limit(n).withColumn("row_count", total.scalar())
 
 
 def row_count(df: DataFrame) -> int:

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from clickloom import schemas
 from clickloom.functions.clock import local_datetime, parse_day
-from clickloom.functions.params import no_repeated_key, param, param_num
+from clickloom.functions.params import param, param_num, single_valued
 from clickloom.operators.dedupe import latest_per_key
 from clickloom.operators.gates import gate, has_event
 from clickloom.operators.merge import MergeSpec, merge_table
@@ -172,39 +172,37 @@ WISH = EventSpec(
 SPECS = (VIEW, CART, WISH)
 
 
-def _lookup(params: Column, lookups: Lookups) -> list[Column]:
-    return [
-        (param_num(params, key) if kind == "number" else param(params, key, kind)).alias(name)
-        for name, (key, kind) in lookups.items()
-    ]
-
+def _lookup(params: Column, lookups: Lookups, guard: str) -> list[Column]:
+    """The look-ups as columns; ``guard`` names the one that carries the key check.
 
-def _single_valued(params: Column, lookups: Lookups) -> Column:
-    return no_repeated_key(params, [key for key, _ in lookups.values()])
+    That should be a column no filter asks for.
+    """
+    columns = {
+        name: param_num(params, key) if kind == "number" else param(params, key, kind)
+        for name, (key, kind) in lookups.items()
+    }
+    columns[guard] = single_valued(params, [key for key, _ in lookups.values()], columns[guard])
+    return [column.alias(name) for name, column in columns.items()]
 
 
 def unpack(events: DataFrame, spec: EventSpec) -> DataFrame:
     """One row per item with the parameters as columns; users as they come."""
-    event_lookups = {**_EVENT_LOOKUPS, **spec.event_lookups}
     fields = [*dict.fromkeys(spec.item_fields.values()), "item_params"]
-    event_params = F.col("event_params")
-    single = events.where(_single_valued(event_params, event_lookups)).select(
+    flat = events.select(
         "event_date",
         "event_timestamp",
         "event_name",
         "user_id",
         "user_pseudo_id",
-        *_lookup(event_params, event_lookups),
+        *_lookup(F.col("event_params"), {**_EVENT_LOOKUPS, **spec.event_lookups}, guard="ga_session_number"),
         "items",
     )
-    rows = explode_items(single, fields)
-    item_params = F.col("item.item_params")
-    names = [c for c in rows.columns if c != "item"]
-    return rows.where(_single_valued(item_params, spec.item_lookups)).select(
-        *names,
+    rows = explode_items(flat, fields)
+    return rows.select(
+        *[c for c in rows.columns if c != "item"],
         local_datetime(F.col("event_timestamp")).alias("event_datetime_kst"),
         *[F.col(f"item.{path}").alias(name) for name, path in spec.item_fields.items()],
-        *_lookup(item_params, spec.item_lookups),
+        *_lookup(F.col("item.item_params"), spec.item_lookups, guard="shipping_type"),
         parse_day(F.col("event_date")).alias("partition_date"),
     )
 

@@ -13,8 +13,14 @@ from clickloom.sources import tables
 
 
 def identity_map(raw: DataFrame) -> DataFrame:
-    """The largest known user (as text) of each device, over all raw data."""
-    return require(raw, "user_id").groupBy("user_pseudo_id").agg(F.max("user_id").alias("user_id"))
+    """The largest known user (as text) of each device, over all raw data.
+
+    Pairs first: dropping repeated pairs is a hash aggregation, which takes a busy
+    device down to a few rows in each map task, while a maximum of text needs its
+    input sorted.
+    """
+    pairs = require(raw, "user_id").select("user_pseudo_id", "user_id").distinct()
+    return pairs.groupBy("user_pseudo_id").agg(F.max("user_id").alias("user_id"))
 
 
 def backfill_user(events: DataFrame, devices: DataFrame, probe: DataFrame | None = None) -> DataFrame:
@@ -42,4 +48,4 @@ def run(spark: SparkSession, layout: Layout) -> None:
     """Rebuild the device table."""
     name = layout.event("user_pseudo_id")
     tables.ensure_table(spark, name, schemas.USER_PSEUDO_ID)
-    tables.full_refresh(spark, name, identity_map(spark.table(layout.event("raw_data"))))
+    tables.atomic_refresh(spark, name, identity_map(spark.table(layout.event("raw_data"))))

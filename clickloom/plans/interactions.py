@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clickloom import schemas
 from clickloom.functions.clock import micros_to_seconds, parse_day
 from clickloom.operators.gates import gate, has_partition
 from clickloom.operators.merge import MergeSpec, merge_table
 from clickloom.operators.rows import conform, require, tag, upto
-from clickloom.operators.skew import spread_join
 from clickloom.plans.layout import Layout
 from clickloom.sources import files, tables
 
@@ -47,13 +48,11 @@ def cart_facts(events: DataFrame, ds: str) -> DataFrame:
 def to_product(events: DataFrame, products: DataFrame) -> DataFrame:
     """The shop's own product id, found by the storefront id; unknown ones are dropped.
 
-    An inner join, as rows without an ``item_id`` do not survive anyway. A product
-    that most events are about is a hot key, hence the spread.
+    An inner join, as rows without an ``item_id`` do not survive anyway. With a plain
+    shuffle on either side AQE can split the partition of a much-wanted product.
     """
-    ids = require(products.select(F.col("id").alias("item_id"), F.col("shopify_id").alias("shopify_item_id")), "item_id")
-    return spread_join(
-        require(events.drop("item_id"), "shopify_item_id"), ids, ["shopify_item_id"], "inner"
-    )
+    ids = products.select(F.col("id").alias("item_id"), F.col("shopify_id").alias("shopify_item_id"))
+    return events.drop("item_id").join(require(ids, "item_id"), "shopify_item_id", "inner")
 
 
 def wishlist_facts(events: DataFrame, products: DataFrame, ds: str) -> DataFrame:
@@ -99,12 +98,22 @@ def export_order(interactions: DataFrame, ds: str) -> DataFrame:
     )
 
 
-def _run_facts(spark: SparkSession, layout: Layout, source: str, target: str, schema, plan, ds: str) -> bool:
+def _run_facts(
+    spark: SparkSession,
+    layout: Layout,
+    source: str,
+    target: str,
+    schema: StructType,
+    plan: Callable[[DataFrame], DataFrame],
+    ds: str,
+    cheap: bool = True,
+) -> bool:
     if not gate(lambda: has_partition(spark.table(layout.event(source)), ds)):
         return False
     name = layout.training(target)
     tables.ensure_table(spark, name, schema, ["partition_date"])
-    merge_table(spark, name, conform(plan(spark.table(layout.event(source))), schema), FACT_MERGE)
+    rows = conform(plan(spark.table(layout.event(source))), schema)
+    merge_table(spark, name, rows, FACT_MERGE, cheap_source=cheap)
     return True
 
 
@@ -133,6 +142,7 @@ def wishlist(spark: SparkSession, layout: Layout, ds: str) -> bool:
         schemas.WISHLIST_DATA,
         lambda e: wishlist_facts(e, products, ds),
         ds,
+        cheap=False,
     )
 
 

@@ -11,7 +11,6 @@ from clickloom.functions.values import if_, line_value
 from clickloom.operators.gates import gate, has_created
 from clickloom.operators.merge import MergeSpec, merge_table
 from clickloom.operators.rows import conform, require, tag, upto_local
-from clickloom.operators.skew import spread_join
 from clickloom.plans.layout import Layout
 from clickloom.sources import tables
 
@@ -28,7 +27,9 @@ def purchase_lines(
     """Order lines of known products whose order was made on ``ds`` or earlier, shop time.
 
     Only rows with a line and a product count, so all joins are inner. Variants meet
-    products first: both are small next to the lines, which are then joined once.
+    products first: both are small next to the lines, which are then joined once. All
+    of these joins have a plain shuffle on either side, so AQE can split the partition
+    of a best-selling variant.
     """
     orders = upto_local(orders, "created_at", ds).select(F.col("id").alias("order_id"), "user_id", "created_at", "updated_at")
     shipments = shipments.select(F.col("id").alias("order_fulfillment_id"), "order_id")
@@ -43,9 +44,7 @@ def purchase_lines(
     variants = variants.select(F.col("id").alias("product_variant_id"), F.col("product_id").alias("item_id"), "price")
     priced = variants.join(items, "item_id", "inner")
     sold = orders.join(shipments, "order_id", "inner").join(lines, "order_fulfillment_id", "inner")
-    # A best-selling variant may be on a large part of all lines.
-    rows = spread_join(sold, priced, ["product_variant_id"], "inner", probe=lines)
-    return tag(rows, "purchase").select(
+    return tag(sold.join(priced, "product_variant_id", "inner"), "purchase").select(
         "order_fulfillment_product_id",
         "user_id",
         "updated_at",

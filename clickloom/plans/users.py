@@ -30,7 +30,7 @@ def run(spark: SparkSession, layout: Layout, ds: str, export_base: str | None =
     name = layout.training("user_train_data")
     tables.ensure_table(spark, name, schemas.USER_TRAIN)
     source = user_train(layout.shop_table(spark, "users"))
-    merge_table(spark, name, conform(source, schemas.USER_TRAIN), USER_MERGE)
+    merge_table(spark, name, conform(source, schemas.USER_TRAIN), USER_MERGE, cheap_source=True)
     if export_base:
         files.export_csv(spark.table(name), export_base, "user/user_train_data", ds)
     return True

@@ -11,9 +11,11 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from clickloom.functions.clock import shard_name
 from clickloom.operators.rows import conform, with_partition_date
+from clickloom.operators.skew import SMALL_BYTES, estimated_bytes
 from clickloom.workspace import discard
 
 _PREVIOUS = "clickloom.previous"
+_VERSION = "__version_"
 
 
 def ensure_db(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -62,17 +64,29 @@ def ensure_raw(spark: SparkSession, name: str, shard_db: str, ds: str) -> bool:
     return True
 
 
-def _write_ready(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+def _write_ready(spark: SparkSession, name: str, df: DataFrame, gather: bool = True) -> DataFrame:
+    """Columns as in the table, rows of a partition together for few, large files."""
     df = conform(df, spark.table(name).schema)
+    if not gather:
+        return df
     parts = partition_columns(spark, name)
-    # Bring each partition's rows together for few, large files; AQE splits a
-    # partition that is too large for one task.
-    return df.hint("rebalance", *[F.col(c) for c in parts]) if parts else df.hint("rebalance")
+    if not parts:
+        return df.hint("rebalance")
+    if estimated_bytes(df) < SMALL_BYTES:
+        # By size alone this would become one task, which then writes the files of all
+        # partitions one after the other.
+        tasks = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return df.repartition(tasks, *parts)
+    # AQE splits a partition that is too large for one task.
+    return df.hint("rebalance", *[F.col(c) for c in parts])
 
 
-def append(spark: SparkSession, name: str, df: DataFrame) -> None:
-    """Add rows, matched by column name. Running it twice adds them twice."""
-    _write_ready(spark, name, df).write.mode("append").insertInto(name)
+def append(spark: SparkSession, name: str, df: DataFrame, gather: bool = True) -> None:
+    """Add rows, matched by column name. Running it twice adds them twice.
+
+    ``gather`` False saves the shuffle when the rows already lie by partition.
+    """
+    _write_ready(spark, name, df, gather).write.mode("append").insertInto(name)
 
 
 def overwrite_partitions(spark: SparkSession, name: str, df: DataFrame) -> None:
@@ -95,7 +109,7 @@ def reload_day(spark: SparkSession, name: str, shard: DataFrame, ds: str) -> Non
     repeats them; only the day itself is replaced.
     """
     spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (partition_date = DATE'{ds}')")
-    append(spark, name, shard)
+    append(spark, name, shard, gather=False)
 
 
 def full_refresh(spark: SparkSession, name: str, df: DataFrame) -> None:
@@ -111,9 +125,9 @@ def atomic_refresh(spark: SparkSession, name: str, df: DataFrame, required: Sequ
     before is kept until the next refresh for readers still on it.
     """
     detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
-    current = detail["Location"]
-    base = current.rstrip("/").split("/_version=")[0]
-    version = f"{base.rstrip('/')}/_version={uuid.uuid4().hex}"
+    current = detail["Location"].rstrip("/")
+    # Beside the table's own folder, so that no reader of the old version lists it.
+    version = f"{current.split(_VERSION)[0]}{_VERSION}{uuid.uuid4().hex}"
     try:
         _write_ready(spark, name, df).write.parquet(version)
         written = spark.read.schema(spark.table(name).schema).parquet(version)
@@ -126,7 +140,7 @@ def atomic_refresh(spark: SparkSession, name: str, df: DataFrame, required: Sequ
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_PREVIOUS}' = '{current}')")
     spark.catalog.refreshTable(name)
     oldest = properties.get(_PREVIOUS)
-    if oldest and "/_version=" in oldest and oldest != current:
+    if oldest and _VERSION in oldest and oldest != current:
         discard(spark, oldest)
 
 
