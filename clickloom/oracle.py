@@ -481,6 +481,10 @@ def _sql() -> dict[str, str]:
           UNION ALL SELECT event_date, event_timestamp, event_name, user_id, user_pseudo_id, partition_date FROM ev
           WHERE ts >= TIMESTAMP '2024-01-16 00:00:00' AND ts < TIMESTAMP '2024-01-16 06:00:00'"""
     )
+    sql["shard_load"] = (
+        _with(_ev())
+        + "SELECT event_date, event_timestamp, event_name, user_id, user_pseudo_id, partition_date FROM ev"
+    )
     sql["append_twice"] = _with(_USERS) + "SELECT * FROM user_rows UNION ALL SELECT * FROM user_rows"
     sql["full_refresh"] = sql["identity_map"]
     sql["atomic_refresh"] = _with(_USERS) + "SELECT user_id, created_at + 1 AS created_at FROM user_rows"

@@ -39,7 +39,7 @@ from clickloom.operators.rows import (
     upto_utc,
 )
 from clickloom.operators.skew import will_broadcast
-from clickloom.plans import country, daily, events, identity, interactions, items, purchases, users
+from clickloom.plans import country, daily, events, identity, interactions, items, purchases, raw, users
 from clickloom.plans.layout import Layout
 from clickloom.sources import files, tables
 from clickloom.workspace import fresh_dir, stage
@@ -407,6 +407,20 @@ def day_reload(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def shard_load(spark: SparkSession, sf: str) -> DataFrame:
+    """All events in one shard, each row going to its own day; a day without a shard
+    loads nothing."""
+    db = _database(spark, "shards")
+    layout = Layout(shards=db, events=db)
+    raw.load_day(spark, layout, DAY_ONE)
+    shapes.raw_data(spark, sf).drop("partition_date").write.saveAsTable(f"{db}.{shard_name(DAY_ONE)}")
+    for ds in (DAY_ONE, DAY_TWO):
+        raw.load_day(spark, layout, ds)
+    return spark.table(layout.event("raw_data")).select(
+        "event_date", "event_timestamp", "event_name", "user_id", "user_pseudo_id", "partition_date"
+    )
+
+
 def append_twice(spark: SparkSession, sf: str) -> DataFrame:
     name = f"{_database(spark, 'append')}.users"
     rows = user_train(spark, sf)
@@ -539,6 +553,7 @@ QUERIES: dict[str, Query] = {
     "preview_limit": preview_limit,
     "table_stats": table_stats_query,
     "day_reload": day_reload,
+    "shard_load": shard_load,
     "append_twice": append_twice,
     "full_refresh": full_refresh,
     "atomic_refresh": atomic_refresh,
