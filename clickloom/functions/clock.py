@@ -1,8 +1,7 @@
 """Dates, instants and shard names.
 
 An instant is a ``timestamp`` or epoch micros; a wall-clock time is a
-``timestamp_ntz``. A ``timestamp_ntz`` given where an instant is expected is read
-as UTC. Nothing here depends on the session time zone.
+``timestamp_ntz``. Given these types, nothing here depends on the session time zone.
 """
 
 from __future__ import annotations

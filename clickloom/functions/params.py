@@ -6,6 +6,7 @@ whole-stage code generation, and the scan reads only the value fields in use.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from functools import reduce
 
@@ -42,14 +43,16 @@ def single_valued(params: Column, keys: Iterable[str], value: Column) -> Column:
     on a value instead of being a filter: it then shares the key list with the
     look-ups beside it, and is not copied into the scan.
     """
+    keys = list(keys)
     names = params.getField("key")
-    repeated = [
-        F.when(F.size(names) - F.size(F.array_remove(names, F.lit(key))) > 1, F.lit(key)) for key in keys
-    ]
-    culprit = F.coalesce(*repeated, F.lit(None).cast("string"))
-    suspicious = F.size(F.array_distinct(names)) < F.size(names)
-    message = F.concat(F.lit("more than one value for parameter "), culprit)
-    return F.when(suspicious & culprit.isNotNull(), F.raise_error(message)).otherwise(value)
+    # Counted in text, one key per line: short code, so that the generated method stays
+    # small enough for the JVM to compile, and no lambda, which would end code generation.
+    lines = F.lit("(?m)^(" + "|".join(re.escape(key) for key in keys) + ")$")
+    found = F.regexp_count(F.array_join(names, "\n"), lines)
+    different = F.size(F.array_intersect(names, F.array(*[F.lit(key) for key in keys])))
+    repeated = (F.size(F.array_distinct(names)) < F.size(names)) & (found > different)
+    message = F.lit(f"more than one value for one of the parameters {', '.join(keys)}")
+    return F.when(repeated, F.raise_error(message)).otherwise(value)
 
 
 def all_of(conditions: Iterable[Column]) -> Column:

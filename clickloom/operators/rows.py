@@ -82,11 +82,19 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
     Raises when a column is missing or one would be lost.
     """
-    have = {name.lower() for name in df.columns}
-    want = {name.lower() for name in schema.names}
-    if have != want:
-        raise ValueError(f"columns differ: missing {sorted(want - have)}, unknown {sorted(have - want)}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    have = {f.name.lower(): f.dataType.simpleString() for f in df.schema.fields}
+    want = {f.name.lower() for f in schema.fields}
+    if set(have) != want:
+        raise ValueError(f"columns differ: missing {sorted(want - set(have))}, unknown {sorted(set(have) - want)}")
+    # A cast between nested types that differ only in nullability would copy every value.
+    return df.select(
+        *[
+            (F.col(f.name) if have[f.name.lower()] == f.dataType.simpleString() else F.col(f.name).cast(f.dataType)).alias(
+                f.name
+            )
+            for f in schema.fields
+        ]
+    )
 
 
 def explode_items(df: DataFrame, fields: Sequence[str], items: str = "items", into: str = "item") -> DataFrame:

@@ -51,19 +51,23 @@ def _param(key: str, value: Column) -> Column:
     return F.struct(F.lit(key).alias("key"), value.alias("value"))
 
 
+def _list(*entries: Column | tuple[Column, Column]) -> Column:
+    """A parameter list; an entry given as (condition, entry) is left out when false."""
+    return F.array_compact(F.array(*[F.when(*e) if isinstance(e, tuple) else e for e in entries]))
+
+
 def _item(i: int, edited: Column) -> Column:
-    event_id, k, pk = F.col("event_id"), F.col("k"), F.col(f"pk{i % 2}")
-    params = F.array_compact(
-        F.array(
-            F.when(pk % 19 != 0, _param("item_id_wms", _value(integer=pk))),
-            _param("item_type", _value(string=F.when(k % 2 == 0, "air").otherwise("sea"))),
-            _param("item_list_type", _value(string=F.concat(F.lit("list"), (k % 4).cast("string")))),
-            _param("regular_price", _value(number=k + 10)),
-            _param("avg_rating", _value(number=k % 5)),
-            _param("review_count", _value(integer=k * 3)),
-        )
+    """The item at position ``i`` (0 or 1)."""
+    event_id, k, pk = F.col("event_id"), F.col("k"), F.col(f"pk{i}")
+    params = _list(
+        (pk % 19 != 0, _param("item_id_wms", _value(integer=pk))),
+        _param("item_type", _value(string=F.when(k % 2 == 0, "air").otherwise("sea"))),
+        _param("item_list_type", _value(string=F.concat(F.lit("list"), (k % 4).cast("string")))),
+        _param("regular_price", _value(number=k + 10)),
+        _param("avg_rating", _value(number=k % 5)),
+        _param("review_count", _value(integer=k * 3)),
     )
-    price = F.when((event_id + i % 2) % 17 != 0, F.col("value") + i % 2 + F.when(edited, 100).otherwise(0))
+    price = F.when((event_id + i) % 17 != 0, F.col("value") + i + F.when(edited, 100).otherwise(0))
     variant = F.when(k % 5 != 0, F.concat(F.lit("v"), (k % 3).cast("string")))
     return F.struct(
         F.concat(F.lit("shop-"), pk.cast("string")).alias("item_id"),
@@ -92,17 +96,16 @@ def raw_data(spark: SparkSession, sf_dir: str, edits: bool = False) -> DataFrame
     edited = (event_id % 31 == 0) if edits else F.lit(False)
     origin = F.when(edited, "promo").when(k % 2 == 0, "pdp").otherwise("list")
     names = F.create_map(*[F.lit(x) for pair in EVENT_NAMES.items() for x in pair])
-    event_params = F.array_compact(
-        F.array(
-            F.when(k % 11 != 0, _param("page_location", _value(string=F.concat(F.lit("/p/"), k.cast("string"))))),
-            F.when(k % 23 != 0, _param("ga_session_id", _value(integer=F.floor(event_id / 10)))),
-            _param("ga_session_number", _value(integer=user % 5)),
-            _param("item_add_origin", _value(string=origin)),
-            _param("currency", _value(string=F.lit("USD"))),
-            _param("value", _value(number=k)),
-        )
+    event_params = _list(
+        (k % 11 != 0, _param("page_location", _value(string=F.concat(F.lit("/p/"), k.cast("string"))))),
+        (k % 23 != 0, _param("ga_session_id", _value(integer=F.floor(event_id / 10)))),
+        _param("ga_session_number", _value(integer=user % 5)),
+        _param("item_add_origin", _value(string=origin)),
+        _param("currency", _value(string=F.lit("USD"))),
+        _param("value", _value(number=k)),
     )
-    items = F.when(k % 13 != 5, F.slice(F.array(*[_item(i, edited) for i in range(3)]), F.lit(1), k % 4))
+    # Positions 0 and 2 hold the same item.
+    items = F.when(k % 13 != 5, F.slice(F.array(*[_item(i, edited) for i in (0, 1, 0)]), F.lit(1), k % 4))
     event_date = F.date_format(F.to_date("ts"), "yyyyMMdd")
     rows = events.select(
         event_date.alias("event_date"),

@@ -67,11 +67,9 @@ def ensure_raw(spark: SparkSession, name: str, shard_db: str, ds: str) -> bool:
 def _write_ready(spark: SparkSession, name: str, df: DataFrame, gather: bool = True) -> DataFrame:
     """Columns as in the table, rows of a partition together for few, large files."""
     df = conform(df, spark.table(name).schema)
-    if not gather:
-        return df
     parts = partition_columns(spark, name)
-    if not parts:
-        return df.hint("rebalance")
+    if not gather or not parts:
+        return df
     if estimated_bytes(df) < SMALL_BYTES:
         # By size alone this would become one task, which then writes the files of all
         # partitions one after the other.
