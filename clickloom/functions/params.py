@@ -57,4 +57,4 @@ def single_valued(params: Column, keys: Iterable[str], value: Column) -> Column:
 
 def all_of(conditions: Iterable[Column]) -> Column:
     """AND of the given conditions."""
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))
+    return reduce(lambda a, b: a & b, conditions)

@@ -17,6 +17,7 @@ from clickloom.functions.clock import (
     shard_day,
     utc_date,
 )
+from clickloom.functions.params import all_of
 
 
 def day(ds: str) -> Column:
@@ -26,9 +27,7 @@ def day(ds: str) -> Column:
 
 def require(df: DataFrame, *columns: str) -> DataFrame:
     """Rows in which every named column is present. NaN counts as present."""
-    for name in columns:
-        df = df.where(F.col(name).isNotNull())
-    return df
+    return df.where(all_of(F.col(name).isNotNull() for name in columns))
 
 
 def by_event(df: DataFrame, name: str) -> DataFrame:

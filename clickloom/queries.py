@@ -235,7 +235,8 @@ def merge_purchases(spark: SparkSession, sf: str) -> DataFrame:
     orders, lines = shop[0], shop[2]
     # Every 13th order was touched since: a day later, all its lines refunded.
     touched = F.col("id") % 13 == 0
-    later = F.when(touched, F.col("updated_at") + F.expr("INTERVAL 24 HOURS")).otherwise(F.col("updated_at"))
+    next_day = micros_to_ts(F.unix_micros("updated_at") + 24 * 3_600_000_000)
+    later = F.when(touched, next_day).otherwise(F.col("updated_at"))
     refund = F.when(F.col("order_fulfillment_id") % 13 == 0, F.lit(2.5)).otherwise(F.col("refunded_line_total"))
     shop[0], shop[2] = orders.withColumn("updated_at", later), lines.withColumn("refunded_line_total", refund)
     source = stage(conform(purchases.purchase_lines(*shop, ALL_DAYS), schemas.PURCHASE_DATA), "purchases-later")

@@ -7,7 +7,7 @@ items, values in different parameter fields, orders near midnight.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom import schemas
@@ -29,55 +29,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _value(string: Column | None = None, integer: Column | None = None, number: Column | None = None) -> Column:
-    """A parameter value; a ``number`` goes to one of the three fields by ``k % 3``."""
-    k = F.col("k")
-    as_int = as_float = as_double = F.lit(None)
-    if number is not None:
-        as_int = F.when(k % 3 == 0, number.cast("bigint"))
-        as_float = F.when(k % 3 == 1, number + 0.5)
-        as_double = F.when(k % 3 == 2, number + 0.25)
-    if integer is not None:
-        as_int = integer.cast("bigint")
-    return F.struct(
-        (F.lit(None) if string is None else string).cast("string").alias("string_value"),
-        as_int.cast("bigint").alias("int_value"),
-        as_float.cast("double").alias("float_value"),
-        as_double.cast("double").alias("double_value"),
+def _param(key: str, string: str = "NULL", integer: str = "NULL", number: str | None = None) -> str:
+    """A parameter as SQL; a ``number`` goes to one of three fields by ``k % 3``."""
+    in_float = in_double = "NULL"
+    if number:
+        integer = f"IF(k % 3 = 0, {number}, NULL)"
+        in_float = f"IF(k % 3 = 1, {number} + 0.5D, NULL)"
+        in_double = f"IF(k % 3 = 2, {number} + 0.25D, NULL)"
+    return (
+        f"named_struct('key', '{key}', 'value', named_struct("
+        f"'string_value', CAST({string} AS STRING), 'int_value', CAST({integer} AS BIGINT),"
+        f" 'float_value', CAST({in_float} AS DOUBLE), 'double_value', CAST({in_double} AS DOUBLE)))"
     )
 
 
-def _param(key: str, value: Column) -> Column:
-    return F.struct(F.lit(key).alias("key"), value.alias("value"))
-
-
-def _list(*entries: Column | tuple[Column, Column]) -> Column:
-    """A parameter list; an entry given as (condition, entry) is left out when false."""
-    return F.array_compact(F.array(*[F.when(*e) if isinstance(e, tuple) else e for e in entries]))
-
-
-def _item(i: int, edited: Column) -> Column:
-    """The item at position ``i`` (0 or 1)."""
-    event_id, k, pk = F.col("event_id"), F.col("k"), F.col(f"pk{i}")
-    params = _list(
-        (pk % 19 != 0, _param("item_id_wms", _value(integer=pk))),
-        _param("item_type", _value(string=F.when(k % 2 == 0, "air").otherwise("sea"))),
-        _param("item_list_type", _value(string=F.concat(F.lit("list"), (k % 4).cast("string")))),
-        _param("regular_price", _value(number=k + 10)),
-        _param("avg_rating", _value(number=k % 5)),
-        _param("review_count", _value(integer=k * 3)),
-    )
-    price = F.when((event_id + i) % 17 != 0, F.col("value") + i + F.when(edited, 100).otherwise(0))
-    variant = F.when(k % 5 != 0, F.concat(F.lit("v"), (k % 3).cast("string")))
-    return F.struct(
-        F.concat(F.lit("shop-"), pk.cast("string")).alias("item_id"),
-        F.concat(F.lit("part "), pk.cast("string")).alias("item_name"),
-        F.when(edited, "edited").otherwise(variant).alias("item_variant"),
-        F.concat(F.lit("cat "), (pk % 9).cast("string")).alias("item_category"),
-        price.alias("price"),
-        (k % 3 + 1).cast("bigint").alias("quantity"),
-        params.alias("item_params"),
+def _item(i: int) -> str:
+    """The item at position ``i`` (0 or 1) as SQL."""
+    pk = f"((event_id * 7 + {i}) % 200)"
+    params = ", ".join(
+        [
+            f"IF({pk} % 19 <> 0, {_param('item_id_wms', integer=pk)}, NULL)",
+            _param("item_type", string="IF(k % 2 = 0, 'air', 'sea')"),
+            _param("item_list_type", string="concat('list', k % 4)"),
+            _param("regular_price", number="(k + 10)"),
+            _param("avg_rating", number="(k % 5)"),
+            _param("review_count", integer="k * 3"),
+        ]
     )
+    return f"""named_struct(
+        'item_id', concat('shop-', {pk}),
+        'item_name', concat('part ', {pk}),
+        'item_variant', CASE WHEN edited THEN 'edited' WHEN k % 5 <> 0 THEN concat('v', k % 3) END,
+        'item_category', concat('cat ', {pk} % 9),
+        'price', IF((event_id + {i}) % 17 <> 0, value + {i} + IF(edited, 100, 0), NULL),
+        'quantity', CAST(k % 3 + 1 AS BIGINT),
+        'item_params', array_compact(array({params})))"""
 
 
 def raw_data(spark: SparkSession, sf_dir: str, edits: bool = False) -> DataFrame:
@@ -85,37 +71,33 @@ def raw_data(spark: SparkSession, sf_dir: str, edits: bool = False) -> DataFrame
 
     With ``edits`` one event in 31 comes back corrected: another price, origin, variant.
     """
+    params = ", ".join(
+        [
+            f"IF(k % 11 <> 0, {_param('page_location', string="concat('/p/', k)")}, NULL)",
+            f"IF(k % 23 <> 0, {_param('ga_session_id', integer='event_id DIV 10')}, NULL)",
+            _param("ga_session_number", integer="user_id % 5"),
+            _param("item_add_origin", string="CASE WHEN edited THEN 'promo' WHEN k % 2 = 0 THEN 'pdp' ELSE 'list' END"),
+            _param("currency", string="'USD'"),
+            _param("value", number="k"),
+        ]
+    )
+    names = " ".join(f"WHEN '{kind}' THEN '{name}'" for kind, name in EVENT_NAMES.items())
     events = table(spark, sf_dir, "events").withColumns(
         {
-            "k": F.get_json_object("props", "$.k").cast("int"),
-            "pk0": (F.col("event_id") * 7) % 200,
-            "pk1": (F.col("event_id") * 7 + 1) % 200,
+            "k": F.expr("CAST(get_json_object(props, '$.k') AS INT)"),
+            "edited": F.expr("event_id % 31 = 0" if edits else "FALSE"),
         }
     )
-    k, event_id, user = F.col("k"), F.col("event_id"), F.col("user_id")
-    edited = (event_id % 31 == 0) if edits else F.lit(False)
-    origin = F.when(edited, "promo").when(k % 2 == 0, "pdp").otherwise("list")
-    names = F.create_map(*[F.lit(x) for pair in EVENT_NAMES.items() for x in pair])
-    event_params = _list(
-        (k % 11 != 0, _param("page_location", _value(string=F.concat(F.lit("/p/"), k.cast("string"))))),
-        (k % 23 != 0, _param("ga_session_id", _value(integer=F.floor(event_id / 10)))),
-        _param("ga_session_number", _value(integer=user % 5)),
-        _param("item_add_origin", _value(string=origin)),
-        _param("currency", _value(string=F.lit("USD"))),
-        _param("value", _value(number=k)),
-    )
-    # Positions 0 and 2 hold the same item.
-    items = F.when(k % 13 != 5, F.slice(F.array(*[_item(i, edited) for i in (0, 1, 0)]), F.lit(1), k % 4))
-    event_date = F.date_format(F.to_date("ts"), "yyyyMMdd")
     rows = events.select(
-        event_date.alias("event_date"),
+        F.expr("date_format(to_date(ts), 'yyyyMMdd') AS event_date"),
         ntz_to_micros(F.col("ts")).alias("event_timestamp"),
-        names[F.col("event_type")].alias("event_name"),
-        F.when((event_id % 3 != 0) & (user % 50 != 7), user.cast("string")).alias("user_id"),
-        F.when(event_id % 29 != 0, F.concat(F.lit("dev-"), (user % 100).cast("string"))).alias("user_pseudo_id"),
-        event_params.alias("event_params"),
-        items.alias("items"),
-        F.to_date("ts").alias("partition_date"),
+        F.expr(f"CASE event_type {names} END AS event_name"),
+        F.expr("IF(event_id % 3 <> 0 AND user_id % 50 <> 7, CAST(user_id AS STRING), NULL) AS user_id"),
+        F.expr("IF(event_id % 29 <> 0, concat('dev-', user_id % 100), NULL) AS user_pseudo_id"),
+        F.expr(f"array_compact(array({params})) AS event_params"),
+        # Positions 0 and 2 hold the same item.
+        F.expr(f"IF(k % 13 <> 5, slice(array({_item(0)}, {_item(1)}, {_item(0)}), 1, k % 4), NULL) AS items"),
+        F.expr("to_date(ts) AS partition_date"),
     )
     return conform(rows, schemas.RAW_DATA)
 

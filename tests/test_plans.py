@@ -1,5 +1,7 @@
 """What reaches the scan, and how often data is shuffled."""
 
+import re
+
 import pytest
 
 from clickloom import shapes
@@ -50,3 +52,16 @@ def test_no_python_and_no_pair_join(spark, sf_dir, stored):
     for df in (view, purchases.purchase_lines(*shop, "2024-01-10"), interactions.view_facts(view, "2024-01-10")):
         text = plan(df)
         assert "Python" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+@pytest.mark.parametrize("spec", events.SPECS, ids=lambda s: s.table)
+def test_generated_methods_stay_compilable(spark, stored, spec, capsys):
+    # The JVM interprets methods of more than 8000 bytes for good.
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        events.extract(*stored, spec, "2024-01-10").explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
