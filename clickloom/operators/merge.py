@@ -29,7 +29,7 @@ from clickloom.functions.params import all_of
 from clickloom.operators.rows import conform
 from clickloom.operators.skew import spread_join
 from clickloom.sources import tables
-from clickloom.workspace import discard, fresh_dir, stage
+from clickloom.workspace import discard, fresh_dir, stage, stage_split
 
 
 @dataclass(frozen=True)
@@ -180,11 +180,10 @@ def merge_frames(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataF
     the result read it.
     """
     columns = target.columns
-    change = stage(changes(target, conform(source, target.schema), spec), "merge-changes")
-    inserts = change.where("_insert").select(*columns)
+    change = changes(target, conform(source, target.schema), spec)
+    inserts, candidates = stage_split(change, "_insert", "merge-changes")
     if spec.watch is None:
         return target.unionByName(inserts)
-    candidates = change.where(~F.col("_insert")).select(*columns)
     return _apply_updates(target, candidates, spec).select(*columns).unionByName(inserts)
 
 
@@ -218,9 +217,7 @@ def merge_table(
         if not spec.unique_source and not cheap_source:
             # Read twice below: by the look for hot keys and NULL keys, and by the join.
             source = stage(source, "source", f"{work}/source")
-        change = stage(changes(target, source, spec), "changes", f"{work}/changes")
-        inserts = change.where("_insert").select(*target.columns)
-        candidates = change.where(~F.col("_insert")).select(*target.columns)
+        inserts, candidates = stage_split(changes(target, source, spec), "_insert", "changes", f"{work}/changes")
         if spec.watch is not None and not candidates.isEmpty():
             if not partitioned:
                 merged = _apply_updates(target, candidates, spec).select(*target.columns).unionByName(inserts)

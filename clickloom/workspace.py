@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,6 +33,30 @@ def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_split(df: DataFrame, flag: str, label: str, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Write ``df`` like ``stage`` and return the rows where ``flag`` holds and the others.
+
+    Each part has files of its own, so the optimizer knows the size of either.
+    """
+    spark = df.sparkSession
+    path = path or fresh_dir(spark, label)
+    df.write.mode("errorifexists").partitionBy(flag).parquet(path)
+    schema = StructType([f for f in df.schema.fields if f.name != flag])
+
+    def part(value: str) -> DataFrame:
+        folder = f"{path}/{flag}={value}"
+        if not _exists(spark, folder):
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(folder)
+
+    return part("true"), part("false")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder made by this package once nothing reads it any more."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
