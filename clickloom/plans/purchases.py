@@ -31,7 +31,9 @@ def purchase_lines(
     of these joins have a plain shuffle on either side, so AQE can split the partition
     of a best-selling variant.
     """
-    orders = upto_local(orders, "created_at", ds).select(F.col("id").alias("order_id"), "user_id", "created_at", "updated_at")
+    orders = upto_local(orders, "created_at", ds).select(
+        F.col("id").alias("order_id"), "user_id", "created_at", "updated_at"
+    )
     shipments = shipments.select(F.col("id").alias("order_fulfillment_id"), "order_id")
     lines = require(lines, "id", "product_variant_id").select(
         F.col("id").alias("order_fulfillment_product_id"),

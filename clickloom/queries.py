@@ -475,7 +475,8 @@ def _country_source(spark: SparkSession, sf: str) -> str:
     """A CSV of customers and their nations, as a landed file."""
     c, n = shapes.table(spark, sf, "customer"), shapes.table(spark, sf, "nation")
     named = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-    return files.land_csv(named.select(F.col("c_name").alias("country"), F.col("n_name").alias("capital")), fresh_dir(spark, "csv"))
+    pairs = named.select(F.col("c_name").alias("country"), F.col("n_name").alias("capital"))
+    return files.land_csv(pairs, fresh_dir(spark, "csv"))
 
 
 def country_load(spark: SparkSession, sf: str) -> DataFrame:

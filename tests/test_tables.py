@@ -139,3 +139,14 @@ def test_explode_drops_missing_and_empty_lists(spark):
     df = spark.createDataFrame([(1, [(1, "x"), (2, None)]), (2, []), (3, None)], ddl)
     got = explode_items(df, ["b", "a"]).select("n", "item.a", "item.b")
     assert rows(got) == [(1, 1, "x"), (1, 2, None)]
+
+
+def test_large_writes_are_rebalanced(spark, db, monkeypatch):
+    monkeypatch.setattr(tables, "SMALL_BYTES", 0)
+    name = f"{db}.t"
+    df = spark.range(300).select("id", (F.col("id") % 3).cast("string").alias("d"))
+    tables.ensure_table(spark, name, df.schema, ["d"])
+    tables.append(spark, name, df)
+    tables.overwrite_partitions(spark, name, df.where("d = '1'").withColumn("id", -F.col("id")))
+    got = spark.table(name).groupBy("d").agg(F.sum(F.signum("id")).alias("s"), F.count("id").alias("n"))
+    assert {(r["d"], r["s"], r["n"]) for r in got.collect()} == {("0", 99, 100), ("1", -100, 100), ("2", 100, 100)}
