@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import chat_format, mixing
+from clickloom.llm import chat_format, mixing, near_text, top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,7 +45,17 @@ def op2_mixing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op7_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return near_text.near_duplicates(_table(spark, sf, "documents"), words=4)
+
+
+def op9_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return top_k.top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op2_mixing": op2_mixing,
+    "op7_minhash": op7_minhash,
+    "op9_top_k": op9_top_k,
 }
