@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import chat_format, mixing, near_text, top_k
+from clickloom.llm import chat_format, mixing, near_text, top_k, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,17 @@ def op2_mixing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, sf, "labels").select("doc_id", "toxic"))
+    return toxicity.score(docs, model, into="score").select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op7_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return near_text.near_duplicates(_table(spark, sf, "documents"), words=4)
 
@@ -56,6 +67,7 @@ def op9_top_k(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op2_mixing": op2_mixing,
+    "op4_toxicity": op4_toxicity,
     "op7_minhash": op7_minhash,
     "op9_top_k": op9_top_k,
 }
