@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import chat_format, mixing, near_text, top_k, toxicity
+from clickloom.llm import chat_format, mixing, near_text, near_vectors, top_k, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,10 @@ def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_cross_polytope(spark: SparkSession, sf: str) -> DataFrame:
+    return near_vectors.near_vectors(_table(spark, sf, "embeddings"))
+
+
 def op7_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return near_text.near_duplicates(_table(spark, sf, "documents"), words=4)
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op2_mixing": op2_mixing,
     "op4_toxicity": op4_toxicity,
+    "op6_cross_polytope": op6_cross_polytope,
     "op7_minhash": op7_minhash,
     "op9_top_k": op9_top_k,
 }
