@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,7 @@ class Scratch:
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         self._paths: list[str] = []
+        self._tables: list[str] = []
 
     def __enter__(self) -> Scratch:
         return self
@@ -39,6 +42,8 @@ class Scratch:
     def __exit__(self, *_: object) -> None:
         for path in self._paths:
             discard(self.spark, path)
+        for name in self._tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     def table(self, df: DataFrame, label: str) -> DataFrame:
         """Write ``df`` and return a scan of it."""
@@ -47,6 +52,14 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def bucketed(self, df: DataFrame, by: str, label: str) -> DataFrame:
+        """Save ``df`` as a table with a bucket per shuffle partition, so joins by ``by`` read it in place."""
+        name = f"{label}_{uuid.uuid4().hex}"
+        self._tables.append(name)
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        df.write.bucketBy(parts, by).option("compression", "zstd").saveAsTable(name)
+        return self.spark.table(name)
+
     def drop_oldest(self, keep: int) -> None:
         """Delete all but the last ``keep`` tables; nothing may read them any more."""
         while len(self._paths) > keep:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import chat_format, mixing, near_text, near_vectors, top_k, toxicity
+from clickloom.llm import chat_format, mixing, near_text, near_vectors, repeats, top_k, toxicity
+from clickloom.llm.common import Scratch, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +46,20 @@ def op2_mixing(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op3_suffix_array(spark: SparkSession, sf: str) -> DataFrame:
+    with Scratch(spark) as scratch:
+        cut = repeats.remove_repeats(_table(spark, sf, "documents"), scratch)
+        return settle(
+            cut.select(
+                "doc_id",
+                "n_bytes",
+                (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                F.size("removed").cast("long").alias("n_spans"),
+                F.sha2("kept", 256).alias("kept_sha256"),
+            )
+        )
+
+
 def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     model = toxicity.train(docs, _table(spark, sf, "labels").select("doc_id", "toxic"))
@@ -71,6 +86,7 @@ def op9_top_k(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op2_mixing": op2_mixing,
+    "op3_suffix_array": op3_suffix_array,
     "op4_toxicity": op4_toxicity,
     "op6_cross_polytope": op6_cross_polytope,
     "op7_minhash": op7_minhash,
