@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import chat_format, mixing, near_text, near_vectors, repeats, top_k, toxicity
+from clickloom.llm import chat_format, mixing, near_text, near_vectors, repeats, surrogates, top_k, toxicity
 from clickloom.llm.common import Scratch, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,15 @@ def op7_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return near_text.near_duplicates(_table(spark, sf, "documents"), words=4)
 
 
+#: The key of the registered query; a deployment has its own.
+SURROGATE_KEY = b"registered query"
+
+
+def op10_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return surrogates.replace_entities(docs, SURROGATE_KEY)
+
+
 def op9_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return top_k.top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -91,4 +100,5 @@ QUERIES: dict[str, Query] = {
     "op6_cross_polytope": op6_cross_polytope,
     "op7_minhash": op7_minhash,
     "op9_top_k": op9_top_k,
+    "op10_surrogates": op10_surrogates,
 }
