@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import chat_format, mixing, near_text, near_vectors, repeats, surrogates, top_k, toxicity
+from clickloom.llm import (
+    chat_format,
+    mixing,
+    near_text,
+    near_vectors,
+    repeats,
+    sentence_spans,
+    sentencepiece_ids,
+    surrogates,
+    top_k,
+    toxicity,
+)
 from clickloom.llm.common import Scratch, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +82,10 @@ def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_sentence_spans(spark: SparkSession, sf: str) -> DataFrame:
+    return sentence_spans.remove_repeated_spans(_table(spark, sf, "documents"))
+
+
 def op6_cross_polytope(spark: SparkSession, sf: str) -> DataFrame:
     return near_vectors.near_vectors(_table(spark, sf, "embeddings"))
 
@@ -79,6 +94,18 @@ def op7_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return near_text.near_duplicates(_table(spark, sf, "documents"), words=4)
 
 
+def op8_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    pieces = sentencepiece_ids.Pieces.load()
+    both = sentencepiece_ids.decode(sentencepiece_ids.encode(docs, pieces), pieces)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_ids"),
+        "ids",
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 #: The key of the registered query; a deployment has its own.
 SURROGATE_KEY = b"registered query"
 
@@ -97,8 +124,10 @@ QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
     "op3_suffix_array": op3_suffix_array,
     "op4_toxicity": op4_toxicity,
+    "op5_sentence_spans": op5_sentence_spans,
     "op6_cross_polytope": op6_cross_polytope,
     "op7_minhash": op7_minhash,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_top_k": op9_top_k,
     "op10_surrogates": op10_surrogates,
 }

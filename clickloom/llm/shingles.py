@@ -66,8 +66,8 @@ def spans(offsets: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, int]]:
         first = last
 
 
-def _hashes(data: np.ndarray, starts: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and first bytes of the words in ``data``; texts begin at ``starts``."""
+def _hashes(data: np.ndarray, starts: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, first bytes and ends of the words in ``data``; texts begin at ``starts``."""
     gap = IS_GAP[data]
     begins = np.ones(len(data) + 1, bool)
     begins[1:-1] = gap[:-1]
@@ -80,15 +80,17 @@ def _hashes(data: np.ndarray, starts: np.ndarray, lower: bool) -> tuple[np.ndarr
     last = np.flatnonzero(word & ends_here) + 1
     up, down = powers(len(data) + 1)
     total = np.r_[U(0), np.cumsum(VALUES[lower][data] * up[:-1], dtype=U)]
-    return mix((total[last] - total[first]) * down[first] + (last - first).astype(U)), first
+    return mix((total[last] - total[first]) * down[first] + (last - first).astype(U)), first, last
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of consecutive texts and the text number of each."""
+def word_table(
+    data: np.ndarray, offsets: np.ndarray, lower: bool
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of consecutive texts: hash, first byte, end, and the text number of each."""
     base, size = int(offsets[0]), int(offsets[-1] - offsets[0])
     if size <= PIECE or len(offsets) > 2:
-        found, first = _hashes(data[base : base + size], offsets[:-1] - base, lower)
-        return found, np.searchsorted(offsets[1:] - base, first, "right")
+        found, first, last = _hashes(data[base : base + size], offsets[:-1] - base, lower)
+        return found, first + base, last + base, np.searchsorted(offsets[1:] - base, first, "right")
     # One long text: pieces end at white space.
     parts, at = [], base
     while at < base + size:
@@ -99,10 +101,11 @@ def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.nda
                 end = at + int(near[-1]) + 1
                 break
             end = min(end + PIECE, base + size)
-        parts.append(_hashes(data[at:end], np.zeros(1, np.int64), lower)[0])
+        found, first, last = _hashes(data[at:end], np.zeros(1, np.int64), lower)
+        parts.append((found, first + at, last + at))
         at = end
-    found = np.concatenate(parts)
-    return found, np.zeros(len(found), np.int64)
+    found, first, last = (np.concatenate(c) for c in zip(*parts, strict=True))
+    return found, first, last, np.zeros(len(found), np.int64)
 
 
 def shingle_sets(column: pa.Array, words: int, lower: bool = True) -> Iterator[tuple[int, np.ndarray]]:
@@ -115,7 +118,7 @@ def shingle_sets(column: pa.Array, words: int, lower: bool = True) -> Iterator[t
     factors = mix(np.arange(1, words + 1, dtype=U) * U(0xD1342543DE82EF95)) | U(1)
     none = np.zeros(0, U)
     for first, last in spans(offsets):
-        hashes, text = words_of(data, offsets[first : last + 1], lower)
+        hashes, _, _, text = word_table(data, offsets[first : last + 1], lower)
         edges = np.searchsorted(text, np.arange(last - first + 1))
         n = len(hashes) - words + 1
         if n > 0:
