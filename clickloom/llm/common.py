@@ -15,6 +15,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def settle(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared checkpoint folder; Spark's cleaner deletes it."""
     sc = df.sparkSession.sparkContext

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import WORD, Scratch, settle
+from clickloom.llm.common import WORD, Scratch, settle, spare
 
 #: Rows of a class are dealt over slices of about so many, so that no window holds more.
 SLICE = 4096
@@ -256,10 +256,11 @@ def take(docs: DataFrame, copies: DataFrame, doc: str = "doc_id") -> DataFrame:
 
     Rows of one id must agree on their copies; those that are taken never go.
     """
-    wanted = copies.where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    wanted = wanted.withColumnRenamed("doc_id", "_doc")
+    columns = docs.columns
+    id_, times, copy = (spare(docs, n) for n in ("_doc", "_copies", "_copy"))
+    wanted = copies.where("copies > 0").groupBy(F.col("doc_id").alias(id_)).agg(F.max("copies").cast("int").alias(times))
     return (
-        docs.join(wanted, F.col(doc).eqNullSafe(F.col("_doc")))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-        .drop("_copy", "_copies", "_doc")
+        docs.join(wanted, F.col(doc).eqNullSafe(F.col(id_)))
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
+        .select(*columns)
     )

@@ -24,4 +24,63 @@ ORACLE: dict[str, str] = {
                    + length({_escaped("txt")}) + 7) AS BIGINT) AS formatted_chars
         FROM rows GROUP BY conv_id
     """,
+    "op6_cross_polytope": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.93
+        ),
+        reach AS (
+            SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+        ),
+        least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+        counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(least(vec_id, least.b), vec_id) AS component_id,
+               coalesce(least(vec_id, least.b), vec_id) = vec_id AS kept
+        FROM embeddings LEFT JOIN least ON least.a = vec_id LEFT JOIN counts ON counts.a = vec_id
+    """,
+    "op7_minhash": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+        ),
+        sets AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM words WHERE len(w) > 0)
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+        shared AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM sets x JOIN sets y ON x.s = y.s AND x.doc_id <> y.doc_id
+            GROUP BY ALL
+        ),
+        links AS (
+            SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+            WHERE 100 * shared.n >= 80 * (p.n + q.n - shared.n)
+        ),
+        reach AS (
+            SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+        ),
+        least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+        SELECT documents.doc_id, coalesce(n, 0) AS n_shingles, coalesce(least(documents.doc_id, least.b), documents.doc_id) AS component_id,
+               coalesce(least(documents.doc_id, least.b), documents.doc_id) = documents.doc_id AS kept
+        FROM documents LEFT JOIN sizes ON sizes.doc_id = documents.doc_id LEFT JOIN least ON least.a = documents.doc_id
+    """,
+    "op9_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scores AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM scores QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
+    """,
 }

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import mixing, near_text, sentencepiece_ids, surrogates, toxicity
-from clickloom.llm.common import Scratch, settle
+from clickloom.llm.common import Scratch, settle, spare
 
 #: Scores from here on reject a document.
 TOXIC = 0.5
@@ -25,7 +25,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject; it is fitted on the labels of these documents."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     model = toxicity.train(docs.select("doc_id", "text"), labels)
-    return toxicity.score(docs, model, into="_toxicity").where(F.col("_toxicity") < TOXIC).select(*docs.columns)
+    score = spare(docs, "_toxicity")
+    return toxicity.score(docs, model, into=score).where(F.col(score) < TOXIC).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +38,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data in their texts replaced and ``n_chars`` counted anew."""
-    out = surrogates.replace_entities(docs, SURROGATE_KEY, count="_entities")
+    out = surrogates.replace_entities(docs, SURROGATE_KEY, count=spare(docs, "_entities"))
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
