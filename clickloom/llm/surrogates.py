@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from clickloom.llm.common import Scratch, settle
+from clickloom.llm.common import Scratch, settle, spare
 
 #: Draws after this one may be longer than the original, so small ranges cannot run out.
 SAME_LENGTH = 12
@@ -131,7 +131,7 @@ CYRILLIC = "абвгдежзиклмнопрстуфхцчшэюя"
 
 def _alike(text: str, draw: _Draw) -> str:
     """Every letter and digit replaced within its class; hexadecimal strings stay so."""
-    if len(text) >= 8 and all(c in HEX for c in text) and any(c.isdigit() for c in text):
+    if len(text) >= 8 and all(c in HEX for c in text) and any(c.isdigit() for c in text) and not text.isdigit():
         return "".join(draw.pick(HEX) for _ in text)
     out = []
     for c in text:
@@ -259,10 +259,12 @@ def replace_entities(
         needed = held.join(again, ["kind", "canonical"]).distinct().groupBy("d").agg(
             F.collect_list(F.struct("kind", "canonical", "attempt")).alias("_again")
         )
-        needed = settle(needed.withColumnRenamed("d", "_d"))
+        needed = settle(needed)
     size = needed.agg(F.sum(F.size("_again"))).first()[0] or 0
+    id_, again_ = spare(docs, "_doc"), spare(docs, "_again")
+    needed = needed.toDF(id_, again_)
     needed = F.broadcast(needed) if size <= BROADCAST else needed
-    joined = docs.join(needed, F.col(doc).eqNullSafe(F.col("_d")), "left").drop("_d")
+    joined = docs.join(needed, F.col(doc).eqNullSafe(F.col(id_)), "left").drop(id_)
     place, names = docs.columns.index(text), [*docs.columns, count]
 
     def replaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
