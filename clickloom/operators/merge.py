@@ -174,16 +174,13 @@ def _apply_updates(target: DataFrame, candidates: DataFrame, spec: MergeSpec) ->
 
 
 def merge_frames(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
-    """The whole target after the merge.
-
-    The change set is written to the shared folder first, because two branches of
-    the result read it.
-    """
+    """The whole target after the merge; nothing is written or run until it is read."""
     columns = target.columns
     change = changes(target, conform(source, target.schema), spec)
-    inserts, candidates = stage_split(change, "_insert", "merge-changes")
+    inserts = change.where("_insert").drop("_insert")
     if spec.watch is None:
         return target.unionByName(inserts)
+    candidates = change.where("NOT _insert").drop("_insert")
     return _apply_updates(target, candidates, spec).select(*columns).unionByName(inserts)
 
 
@@ -246,8 +243,14 @@ def _rewrite_partitions(
     touched = changing.select(*partitioned).distinct().collect()  # one entry per day
     if not touched:
         return
-    only = F.lit(False)
-    for values in touched:
-        only = only | all_of(F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(partitioned, values))
+    only = all_of(
+        F.col(c).isin([row[c] for row in touched if row[c] is not None])
+        | (F.col(c).isNull() if any(row[c] is None for row in touched) else F.lit(False))
+        for c in partitioned
+    )
+    if len(partitioned) > 1:
+        # Value by value the filter lets more combinations through; only these are rewritten.
+        only = only & F.struct(*partitioned).isin([F.struct(*[F.lit(row[c]) for c in partitioned]) for row in touched])
     changed = _apply_updates(target.where(only), candidates, spec).select(*target.columns)
-    tables.overwrite_partitions(spark, name, stage(changed, "rewrite", path))
+    stage(changed, "rewrite", path)
+    tables.overwrite_partitions(spark, name, path)

@@ -35,29 +35,37 @@ def by_event(df: DataFrame, name: str) -> DataFrame:
     return df.where(F.col("event_name") == name)
 
 
-def upto_event_date(df: DataFrame, ds: str) -> DataFrame:
-    """Rows whose ``YYYYMMDD`` text day is not after ``ds``."""
+def upto_event_date(df: DataFrame, ds: str | None) -> DataFrame:
+    """Rows whose ``YYYYMMDD`` text day is not after ``ds``; None is no bound."""
+    if ds is None:
+        return df
     return df.where(F.col("event_date") <= shard_day(ds))
 
 
-def upto(df: DataFrame, ds: str) -> DataFrame:
-    """Rows whose ``partition_date`` is not after ``ds``; prunes partitions."""
+def upto(df: DataFrame, ds: str | None) -> DataFrame:
+    """Rows whose ``partition_date`` is not after ``ds``; prunes partitions. None is no bound."""
+    if ds is None:
+        return df
     return df.where(F.col("partition_date") <= day(ds))
 
 
-def upto_local(df: DataFrame, column: str, ds: str, zone: str = SHOP_ZONE) -> DataFrame:
-    """Rows whose instant falls on ``ds`` or earlier in ``zone``."""
+def upto_local(df: DataFrame, column: str, ds: str | None, zone: str = SHOP_ZONE) -> DataFrame:
+    """Rows whose instant falls on ``ds`` or earlier in ``zone``; None is no bound, but wants an instant."""
+    if ds is None:
+        return require(df, column)
     coarse = before_day_after(F.col(column), zone, ds)
     return df.where(coarse & (local_date(F.col(column), zone) <= day(ds)))
 
 
-def upto_utc(df: DataFrame, column: str, ds: str) -> DataFrame:
-    """Rows whose instant falls on ``ds`` or earlier in UTC."""
+def upto_utc(df: DataFrame, column: str, ds: str | None) -> DataFrame:
+    """Rows whose instant falls on ``ds`` or earlier in UTC; None is no bound, but wants an instant."""
+    if ds is None:
+        return require(df, column)
     coarse = before_day_after(F.col(column), "UTC", ds)
     return df.where(coarse & (utc_date(F.col(column)) <= day(ds)))
 
 
-def events_upto(raw: DataFrame, name: str, ds: str) -> DataFrame:
+def events_upto(raw: DataFrame, name: str, ds: str | None) -> DataFrame:
     """Raw rows of one event up to ``ds``.
 
     ``partition_date`` is the parsed ``event_date``, so the second test changes no
@@ -96,16 +104,17 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
-def explode_items(df: DataFrame, fields: Sequence[str], items: str = "items", into: str = "item") -> DataFrame:
-    """One row per item, NULL and empty lists giving none; ``into`` is a struct of ``fields``.
+def zip_items(df: DataFrame, fields: Sequence[str], items: str = "items") -> DataFrame:
+    """``items`` as an array of structs of ``fields`` only, so no other field is read or moved.
 
-    Zipping the wanted fields before the explode keeps the scan from reading the
-    item fields nobody asked for.
+    arrays_zip names the struct fields after the last part of each path.
     """
-    zipped = F.arrays_zip(*[F.col(f"{items}.{name}") for name in fields])
-    exploded = df.withColumn(into, F.explode(zipped))
-    # arrays_zip names the struct fields after the last part of each path.
-    return exploded.drop(items)
+    return df.withColumn(items, F.arrays_zip(*[F.col(f"{items}.{name}") for name in fields]))
+
+
+def explode_items(df: DataFrame, fields: Sequence[str], items: str = "items", into: str = "item") -> DataFrame:
+    """One row per item, NULL and empty lists giving none; ``into`` is a struct of ``fields``."""
+    return zip_items(df, fields, items).withColumn(into, F.explode(items)).drop(items)
 
 
 def preview(df: DataFrame, n: int = 10) -> DataFrame:
@@ -117,8 +126,3 @@ def table_stats(df: DataFrame, key: str, n: int = 5) -> DataFrame:
     """The first ``n`` rows by ``key``, each with the row count of the whole table."""
     total = df.agg(F.count(F.lit(1)))
     return df.orderBy(key).limit(n).withColumn("row_count", total.scalar())
-
-
-def row_count(df: DataFrame) -> int:
-    """Number of rows."""
-    return df.count()

@@ -4,103 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
-
-# A key is hot when it holds more than one in HOT_ONE_IN rows, so there are at most
-# HOT_ONE_IN hot keys whatever the size of the data.
-HOT_ONE_IN = 1000
-
-# Below this estimated size a whole input fits one task, however it is spread.
-SMALL_BYTES = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def will_broadcast(df: DataFrame) -> bool:
-    """Whether Spark broadcasts this side by its own size limit."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return estimated_bytes(df) <= limit
-
-
-def _partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
-    """Hashes of the hot keys with the number of slices to cut each into, or None.
-
-    One narrow pass with a sketch of fixed size: no shuffle, and at most
-    ``HOT_ONE_IN`` numbers come back. A key the sketch misjudges only loses the even
-    spread; results do not depend on it.
-    """
-    spark = df.sparkSession
-    tops = (
-        df.select(*keys)
-        .dropna()
-        .select(F.xxhash64(*keys).alias("h"))
-        .agg(
-            F.expr(f"approx_top_k(h, {HOT_ONE_IN}, {HOT_ONE_IN * 10})").alias("tops"),
-            F.count(F.lit(1)).alias("total"),
-        )
-        .select("total", F.explode("tops").alias("top"))
-        .where(F.col("top.count") * HOT_ONE_IN > F.col("total"))
-        .select("top.item", "top.count", "total")
-    )
-    parts = _partitions(spark)
-    rows = [(r["item"], max(2, -(-r["count"] * parts // r["total"]))) for r in tops.collect()]
-    if not rows:
-        return None
-    return spark.createDataFrame(rows, "_hash bigint, _slices int")
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 
 def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    how: str,
-    probe: DataFrame | None = None,
-    spread_nulls: bool = False,
-    small_bytes: int = SMALL_BYTES,
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, spread_nulls: bool = False
 ) -> DataFrame:
-    """``left.join(right, keys, how)`` with the hot keys of ``left`` cut into slices.
+    """``left.join(right, keys, how)`` in which the partition of a hot key can be split.
 
-    ``right`` holds few rows per key. Each hot key of ``left`` is dealt over as many
-    slices as its share of the shuffle partitions, and only its rows of ``right`` are
-    copied to each slice. ``probe`` is a cheaper frame with the same key columns to
-    look for hot keys in. With ``spread_nulls`` the rows of ``left`` with a NULL key,
-    which match nothing, are dealt over all partitions instead of meeting in one.
+    AQE splits a large partition only between two plain shuffles. A side that is an
+    aggregation by the keys lies where the join wants it and has none, so both sides join
+    by a hash of the keys as well, which gives each a shuffle of its own; the aggregated
+    side is small by then. With ``spread_nulls`` the rows of ``left`` with a NULL key,
+    which match nothing, get other hashes and lie over all partitions instead of in one.
     """
     keys = list(keys)
-    probe = left if probe is None else probe
-    if will_broadcast(right):
-        return left.join(right, keys, how)
-    hot = hot_keys(probe, keys) if estimated_bytes(probe) >= small_bytes else None
-    if hot is None and not spread_nulls:
-        return left.join(right, keys, how)
-
-    if hot is None:
-        left_hot = left.withColumn("_slices", F.lit(None).cast("int"))
-        right_hot = right.withColumn("_slices", F.lit(None).cast("int"))
-    else:
-        # At most HOT_ONE_IN rows, see hot_keys.
-        left_hot = left.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(hot), "_hash", "left").drop("_hash")
-        right_hot = right.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(hot), "_hash", "left").drop("_hash")
-    no_key = F.lit(False)
-    for key in keys:
-        no_key = no_key | F.col(key).isNull()
-    # Equal rows of one input partition share a slice, those of others do not; a
-    # task that runs again deals its rows the same way.
-    hashable = [f.name for f in left.schema.fields if not isinstance(f.dataType, MapType)]
-    deal = F.xxhash64(F.spark_partition_id(), *hashable)
-    width = F.when(no_key, _partitions(left.sparkSession)).otherwise(F.coalesce(F.col("_slices"), F.lit(1)))
-    sliced = left_hot.withColumn("_slice", F.pmod(deal, width).cast("int")).drop("_slices")
-    copies = right_hot.withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1))
-    ).drop("_slices")
-    joined = sliced.join(copies, [*keys, "_slice"], how)
-    return joined.drop("_slice")
+    spot = F.xxhash64(*keys)
+    mine = spot
+    if spread_nulls:
+        no_key = F.lit(False)
+        for key in keys:
+            no_key = no_key | F.col(key).isNull()
+        # By value and input partition, so a task that runs again deals the same way.
+        plain = [f.name for f in left.schema.fields if not isinstance(f.dataType, (MapType, ArrayType, StructType))]
+        mine = F.when(no_key, F.xxhash64(F.spark_partition_id(), *plain)).otherwise(spot)
+    joined = left.withColumn("_spot", mine).join(right.withColumn("_spot", spot), [*keys, "_spot"], how)
+    return joined.drop("_spot")

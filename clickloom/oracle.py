@@ -6,7 +6,12 @@ spelled out as columns, and a merge is a left join plus what it did not find.
 
 from __future__ import annotations
 
-from clickloom.queries import ALL_DAYS, DAY_ONE, DAY_TWO, PURCHASE_DAY
+from clickloom.queries import DAY_ONE, PURCHASE_DAY
+from clickloom.shapes import LINE_ORDER
+
+
+def _until(column: str, ds: str | None) -> str:
+    return f" AND {column} <= DATE '{ds}'" if ds else ""
 
 
 def _number(e: str) -> str:
@@ -26,7 +31,7 @@ def _ev(name: str = "ev", edits: bool = False) -> str:
           CASE event_type WHEN 'view' THEN 'view_item' WHEN 'click' THEN 'add_to_cart' WHEN 'signup' THEN 'add_to_wishlist'
             WHEN 'error' THEN 'page_view' ELSE 'purchase' END AS event_name,
           CASE WHEN event_id % 3 <> 0 AND user_id % 50 <> 7 THEN CAST(user_id AS VARCHAR) END AS user_id,
-          CASE WHEN event_id % 29 <> 0 THEN 'dev-' || CAST(user_id % 100 AS VARCHAR) END AS user_pseudo_id,
+          CASE WHEN event_id % 29 <> 0 THEN 'dev-' || CAST(user_id // 2 AS VARCHAR) END AS user_pseudo_id,
           CASE WHEN k % 11 <> 0 THEN '/p/' || CAST(k AS VARCHAR) END AS page_location,
           CASE WHEN k % 23 <> 0 THEN event_id // 10 END AS ga_session_id,
           user_id % 5 AS ga_session_number
@@ -50,14 +55,14 @@ def _items(name: str = "it", ev: str = "ev") -> str:
         CASE WHEN k % 3 = 2 THEN k + 10 + 0.25::DOUBLE END AS regular_price_double,
         {_number('(k % 5)')} AS avg_rating,
         CAST(k * 3 AS BIGINT) AS review_count
-      FROM (SELECT {ev}.*, i, (event_id * 7 + i % 2) % 200 AS pk
+      FROM (SELECT {ev}.*, i, (event_id * 7 + i % 2) % (SELECT greatest(count(*), 1) FROM part) AS pk
             FROM {ev} CROSS JOIN (VALUES (0), (1), (2)) t(i) WHERE i < k % 4 AND k % 13 <> 5)
     )"""
 
 
 def _upi(name: str = "upi", ev: str = "ev", ds: str | None = None) -> str:
     """CTE: device to user, from the days up to ``ds``."""
-    days = f" AND partition_date <= DATE '{ds}'" if ds else ""
+    days = _until("partition_date", ds)
     return f"""{name} AS (
       SELECT user_pseudo_id, MAX(user_id) AS user_id FROM {ev} WHERE user_id IS NOT NULL{days} GROUP BY user_pseudo_id
     )"""
@@ -99,7 +104,7 @@ def _columns(kind: str) -> list[str]:
     return [c.split(" AS ")[-1].strip(" )") if " AS " in c else c.strip() for c in listed]
 
 
-def _extract(kind: str, ds: str, it: str = "it", upi: str = "upi") -> str:
+def _extract(kind: str, ds: str | None, it: str = "it", upi: str = "upi") -> str:
     """One event's item rows: user filled in, required fields present, one per key."""
     keys, columns = _keys(kind), _columns(kind)
     tie = ", ".join(f"{c} ASC NULLS FIRST" for c in columns if c not in keys)
@@ -108,7 +113,7 @@ def _extract(kind: str, ds: str, it: str = "it", upi: str = "upi") -> str:
       SELECT {", ".join(columns)} FROM (
         SELECT {_HEAD.replace(" user_id,", " COALESCE(x.user_id, u.user_id) AS user_id,").replace("user_pseudo_id", "x.user_pseudo_id")}, {_BODY[kind]}
         FROM {it} x LEFT JOIN {upi} u ON x.user_pseudo_id = u.user_pseudo_id
-        WHERE event_name = '{_NAME[kind]}' AND partition_date <= DATE '{ds}'
+        WHERE event_name = '{_NAME[kind]}'{_until('partition_date', ds)}
       ) WHERE {required}
       QUALIFY ROW_NUMBER() OVER (PARTITION BY {", ".join(keys)} ORDER BY event_timestamp DESC, {tie}) = 1
     )"""
@@ -180,7 +185,7 @@ def _merge_events(kind: str) -> str:
         _ev("ev2", edits=True),
         _items("it2", "ev2"),
         f"t0 AS {_extract(kind, DAY_ONE, upi='upi1')}",
-        f"s0 AS {_extract(kind, ALL_DAYS, it='it2')}",
+        f"s0 AS {_extract(kind, None, it='it2')}",
     )
     return _with(*ctes) + _merge("t0", "s0", _columns(kind), _keys(kind), watch, update)
 
@@ -192,11 +197,12 @@ _ORDERS = """orders_ AS (
     o_orderdate + (o_orderkey % 24) * INTERVAL 1 HOUR AS created_at,
     o_orderdate + (o_orderkey % 24 + 24) * INTERVAL 1 HOUR AS updated_at
   FROM orders)"""
-_LINES = """lines AS (
-  SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS order_fulfillment_id, MIN(l_partkey) * 2 AS product_variant_id,
-    MIN(l_quantity) AS quantity,
-    MIN(CASE l_returnflag WHEN 'R' THEN 1.5::DOUBLE WHEN 'N' THEN 0.0::DOUBLE END) AS refunded_line_total
-  FROM lineitem GROUP BY l_orderkey, l_linenumber)"""
+_LINES = f"""lines AS (
+  SELECT (l_orderkey * 10 + l_linenumber) * 1000
+      + row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.join(LINE_ORDER)}) AS id,
+    l_orderkey AS order_fulfillment_id, l_partkey * 2 AS product_variant_id, l_quantity AS quantity,
+    CASE l_returnflag WHEN 'R' THEN 1.5::DOUBLE WHEN 'N' THEN 0.0::DOUBLE END AS refunded_line_total
+  FROM lineitem)"""
 _VARIANTS = """variants AS (
   SELECT p_partkey * 2 + v AS id, p_partkey AS product_id, CAST(round(p_retailprice * 1000) AS BIGINT) + v * 500 AS price
   FROM part CROSS JOIN (VALUES (0), (1)) t(v))"""
@@ -209,7 +215,7 @@ _MAPPER = "mapper AS (SELECT DISTINCT l_partkey AS product_id, l_suppkey AS item
 _STOCKS = "stocks AS (SELECT s_suppkey AS item_id, CAST(floor(s_acctbal) AS BIGINT) AS available_quantity FROM supplier)"
 
 
-def _purchase_rows(ds: str, orders: str = "orders_", lines: str = "lines") -> str:
+def _purchase_rows(ds: str | None, orders: str = "orders_", lines: str = "lines") -> str:
     return f"""(
       SELECT l.id AS order_fulfillment_product_id, o.user_id, o.updated_at,
         CASE WHEN l.refunded_line_total <> 0 THEN 1 ELSE 0 END AS is_refunded, p.id AS item_id, 'purchase' AS event_type,
@@ -219,7 +225,7 @@ def _purchase_rows(ds: str, orders: str = "orders_", lines: str = "lines") -> st
       LEFT JOIN {lines} l ON o.id = l.order_fulfillment_id
       LEFT JOIN variants v ON l.product_variant_id = v.id
       LEFT JOIN products p ON v.product_id = p.id
-      WHERE CAST(o.created_at + INTERVAL 9 HOUR AS DATE) <= DATE '{ds}' AND l.id IS NOT NULL AND p.id IS NOT NULL
+      WHERE l.id IS NOT NULL AND p.id IS NOT NULL{_until('CAST(o.created_at + INTERVAL 9 HOUR AS DATE)', ds)}
     )"""
 
 
@@ -247,7 +253,7 @@ def _merge_purchases() -> str:
         edited_orders,
         edited_lines,
         f"t0 AS {_purchase_rows(PURCHASE_DAY)}",
-        f"s0 AS {_purchase_rows(ALL_DAYS, 'orders2', 'lines2')}",
+        f"s0 AS {_purchase_rows(None, 'orders2', 'lines2')}",
     )
     keys = ["order_fulfillment_product_id", "user_id", "item_id", "partition_date"]
     return _with(*ctes) + _merge("t0", "s0", _PURCHASE_COLUMNS, keys, "updated_at", ["updated_at", "is_refunded", "event_value"])
@@ -260,21 +266,21 @@ _FACT_KEYS = ["user_id", "item_id", "timestamp"]
 _TAG = {"view": "view", "cart": "cart", "wish": "like"}
 
 
-def _facts(kind: str, rows: str, ds: str = ALL_DAYS) -> str:
+def _facts(kind: str, rows: str, ds: str | None = None) -> str:
     join = "JOIN products p ON e.shopify_item_id = p.shopify_id" if kind == "wish" else ""
     item = "p.id" if kind == "wish" else "e.item_id"
     return f"""(
       SELECT user_id, {item} AS item_id, price AS event_value, event_timestamp AS timestamp, '{_TAG[kind]}' AS event_type,
         partition_date
-      FROM {rows} e {join} WHERE partition_date <= DATE '{ds}'
+      FROM {rows} e {join} WHERE TRUE{_until('partition_date', ds)}
     )"""
 
 
-def _union(view: str, purchase: str, cart: str, wish: str, ds: str = ALL_DAYS) -> str:
+def _union(view: str, purchase: str, cart: str, wish: str, ds: str | None = None) -> str:
     def branch(rows: str, seconds: str) -> str:
         return f"""SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(item_id AS VARCHAR) AS item_id, event_value,
           {seconds} AS timestamp, event_type, partition_date FROM {rows}
-          WHERE user_id IS NOT NULL AND partition_date <= DATE '{ds}'"""
+          WHERE user_id IS NOT NULL{_until('partition_date', ds)}"""
 
     micros = "timestamp // 1000000"
     parts = [branch(view, micros), branch(purchase, "timestamp"), branch(cart, micros), branch(wish, micros)]
@@ -284,9 +290,9 @@ def _union(view: str, purchase: str, cart: str, wish: str, ds: str = ALL_DAYS) -
 _INTERACTION_CTES = (
     *_BASE,
     *_PURCHASE_CTES,
-    *[f"{kind}_events AS {_extract(kind, ALL_DAYS)}" for kind in _NAME],
+    *[f"{kind}_events AS {_extract(kind, None)}" for kind in _NAME],
     *[f"{kind}_facts AS {_facts(kind, kind + '_events')}" for kind in _NAME],
-    f"purchases AS {_purchase_rows(ALL_DAYS)}",
+    f"purchases AS {_purchase_rows(None)}",
     f"interactions AS {_union('view_facts', 'purchases', 'cart_facts', 'wish_facts')}",
 )
 
@@ -316,31 +322,32 @@ _USERS = """user_rows AS (
   FROM customer WHERE c_custkey % 37 <> 0)"""
 
 
-def _two_days() -> str:
-    """Two run dates in a row: each day's source against what the day before left."""
-    ctes = [*_BASE, _upi("upi1", ds=DAY_ONE), _upi("upi2", ds=DAY_TWO), *_PURCHASE_CTES]
+def _two_days(result: str | None = None) -> str:
+    """Two run dates in a row, the second the last day there is: each run's source against
+    what the first left; the interactions, or the rows of another CTE."""
+    ctes = [*_BASE, _upi("upi1", ds=DAY_ONE), _upi("upi2"), *_PURCHASE_CTES]
     for kind in _NAME:
         watch, update = _UPDATES[kind]
         merged = _merge(f"{kind}_e1", f"{kind}_s2", _columns(kind), _keys(kind), watch, update)
         facts = _merge(f"{kind}_f1", f"{kind}_g2", _FACT, _FACT_KEYS, "partition_date", ["event_value", "event_type"])
         ctes += [
             f"{kind}_e1 AS {_extract(kind, DAY_ONE, upi='upi1')}",
-            f"{kind}_s2 AS {_extract(kind, DAY_TWO, upi='upi2')}",
+            f"{kind}_s2 AS {_extract(kind, None, upi='upi2')}",
             f"{kind}_e2 AS ({merged})",
             f"{kind}_f1 AS {_facts(kind, kind + '_e1', DAY_ONE)}",
-            f"{kind}_g2 AS {_facts(kind, kind + '_e2', DAY_TWO)}",
+            f"{kind}_g2 AS {_facts(kind, kind + '_e2', None)}",
             f"{kind}_f2 AS ({facts})",
         ]
     keys = ["order_fulfillment_product_id", "user_id", "item_id", "partition_date"]
     purchases = _merge("p1", "q2", _PURCHASE_COLUMNS, keys, "updated_at", ["updated_at", "is_refunded", "event_value"])
     ctes += [
         f"p1 AS {_purchase_rows(DAY_ONE)}",
-        f"q2 AS {_purchase_rows(DAY_TWO)}",
+        f"q2 AS {_purchase_rows(None)}",
         f"p2 AS ({purchases})",
         f"i1 AS {_union('view_f1', 'p1', 'cart_f1', 'wish_f1', DAY_ONE)}",
-        f"j2 AS {_union('view_f2', 'p2', 'cart_f2', 'wish_f2', DAY_TWO)}",
+        f"j2 AS {_union('view_f2', 'p2', 'cart_f2', 'wish_f2', None)}",
     ]
-    return _with(*ctes) + _merge("i1", "j2", _FACT, _FACT, None, [])
+    return _with(*ctes) + (f"SELECT * FROM {result}" if result else _merge("i1", "j2", _FACT, _FACT, None, []))
 
 
 def _sql() -> dict[str, str]:
@@ -372,7 +379,7 @@ def _sql() -> dict[str, str]:
           FROM ev LEFT JOIN upi ON ev.user_pseudo_id = upi.user_pseudo_id"""
     )
     for kind, query in (("view", "view_item_events"), ("cart", "add_to_cart_events"), ("wish", "add_to_wishlist_events")):
-        sql[query] = _with(*_BASE) + f"SELECT * FROM {_extract(kind, ALL_DAYS)}"
+        sql[query] = _with(*_BASE) + f"SELECT * FROM {_extract(kind, None)}"
     sql["view_item_events_day_one"] = _with(*_BASE) + f"SELECT * FROM {_extract('view', DAY_ONE)}"
     line_columns = [
         "l_partkey",
@@ -405,25 +412,32 @@ def _sql() -> dict[str, str]:
     for kind, query in (("view", "merge_view_events"), ("cart", "merge_cart_events"), ("wish", "merge_wishlist_events")):
         sql[query] = _merge_events(kind)
     sql["merge_into_table"] = sql["merge_view_events"]
-    cart = f"c0 AS {_extract('cart', ALL_DAYS)}"
+    sql["merge_into_cart_table"] = sql["merge_cart_events"]
+    sql["merge_into_wishlist_table"] = sql["merge_wishlist_events"]
+    cart = f"c0 AS {_extract('cart', None)}"
     watch, update = _UPDATES["cart"]
     for query, same in (("merge_null_keys", "="), ("merge_null_safe_keys", "IS NOT DISTINCT FROM")):
         sql[query] = _with(*_BASE, cart) + _merge("c0", "c0", _columns("cart"), _keys("cart"), watch, update, same)
-    sql["purchase_data"] = _with(*_PURCHASE_CTES) + f"SELECT * FROM {_purchase_rows(ALL_DAYS)}"
+    sql["purchase_data"] = _with(*_PURCHASE_CTES) + f"SELECT * FROM {_purchase_rows(None)}"
     sql["purchase_data_upto"] = _with(*_PURCHASE_CTES) + f"SELECT * FROM {_purchase_rows(PURCHASE_DAY)}"
     sql["merge_purchases"] = _merge_purchases()
     for kind, query in (("view", "view_data"), ("cart", "cart_data"), ("wish", "wishlist_data")):
         sql[query] = _with(*_INTERACTION_CTES) + f"SELECT * FROM {kind}_facts"
-    moved = f"""t0 AS (SELECT user_id, item_id, CASE WHEN timestamp % 7 = 0 THEN event_value + 1 ELSE event_value END AS event_value,
-      timestamp, event_type, CASE WHEN timestamp % 7 = 0 THEN partition_date + 1 ELSE partition_date END AS partition_date
-      FROM view_facts WHERE partition_date <= DATE '{DAY_ONE}')"""
-    sql["merge_facts"] = _with(*_INTERACTION_CTES, moved) + _merge(
-        "t0", "view_facts", _FACT, _FACT_KEYS, "partition_date", ["event_value", "event_type"]
-    )
+    for kind, query in (("view", "merge_into_view_data"), ("cart", "merge_into_cart_data"), ("wish", "merge_into_wishlist_data")):
+        moved = f"""t0 AS (SELECT user_id, item_id,
+          CASE WHEN timestamp % 7 = 0 THEN event_value + 1 ELSE event_value END AS event_value, timestamp, event_type,
+          CASE WHEN timestamp % 7 = 0 THEN partition_date + 1 ELSE partition_date END AS partition_date
+          FROM {kind}_facts WHERE partition_date <= DATE '{DAY_ONE}')"""
+        sql[query] = _with(*_INTERACTION_CTES, moved) + _merge(
+            "t0", f"{kind}_facts", _FACT, _FACT_KEYS, "partition_date", ["event_value", "event_type"]
+        )
+    sql["merge_facts"] = sql["merge_into_view_data"]
     sql["interaction_union"] = _with(*_INTERACTION_CTES) + "SELECT * FROM interactions"
     older = f"""t0 AS (SELECT user_id, item_id, CASE WHEN timestamp % 5 = 0 THEN event_value + 1 ELSE event_value END AS event_value,
       timestamp, event_type, partition_date FROM interactions WHERE partition_date <= DATE '{DAY_ONE}')"""
     sql["merge_interactions"] = _with(*_INTERACTION_CTES, older) + _merge("t0", "interactions", _FACT, _FACT, None, [])
+    sql["merge_into_interactions"] = sql["merge_interactions"]
+    sql["merge_into_purchases"] = sql["merge_purchases"]
     export = "SELECT user_id, item_id, event_type, event_value, timestamp FROM interactions"
     sql["interaction_export"] = _with(*_INTERACTION_CTES) + (
         export + " ORDER BY timestamp DESC, user_id, item_id, event_type, event_value"
@@ -460,6 +474,7 @@ def _sql() -> dict[str, str]:
     sql["merge_users"] = _with(_USERS, older_users) + _merge(
         "t0", "user_rows", ["user_id", "created_at"], ["user_id", "created_at"], None, []
     )
+    sql["merge_into_items"], sql["merge_into_users"] = sql["merge_items"], sql["merge_users"]
     count = "SELECT COUNT(*) AS record_count FROM"
     some = "HAVING COUNT(*) > 0"
     sql["gate_event"] = (
@@ -472,6 +487,11 @@ def _sql() -> dict[str, str]:
     sql["gate_created"] = (
         _with(_ORDERS) + f"{count} orders_ WHERE CAST(created_at AS DATE) <= DATE '{PURCHASE_DAY}' {some}"
     )
+    sql["gate_states"] = (
+        _with(_ev())
+        + """SELECT 'events' AS name, COUNT(*) > 0 AS ready FROM ev WHERE event_name = 'add_to_cart' AND event_date <= '20240115'
+          UNION ALL VALUES ('empty', FALSE), ('missing', FALSE)"""
+    )
     sql["preview_limit"] = "SELECT * FROM customer ORDER BY c_custkey LIMIT 10"
     sql["table_stats"] = """SELECT c_custkey, c_name, (SELECT COUNT(*) FROM customer) AS row_count FROM customer
       ORDER BY c_custkey LIMIT 5"""
@@ -488,11 +508,14 @@ def _sql() -> dict[str, str]:
     sql["append_twice"] = _with(_USERS) + "SELECT * FROM user_rows UNION ALL SELECT * FROM user_rows"
     sql["full_refresh"] = sql["identity_map"]
     sql["atomic_refresh"] = _with(_USERS) + "SELECT user_id, created_at + 1 AS created_at FROM user_rows"
+    sql["failed_refresh"] = sql["user_train"]
     named = "SELECT c_name AS country, n_name AS capital FROM customer JOIN nation ON c_nationkey = n_nationkey"
     sql["country_load"] = named
     sql["country_refresh"] = f"""SELECT *, (SELECT COUNT(*) FROM ({named})) AS row_count FROM ({named})
       ORDER BY country LIMIT 5"""
     sql["two_day_run"] = _two_days()
+    sql["two_day_items"], sql["two_day_users"] = sql["item_train"], sql["user_train"]
+    sql["two_day_cart_events"] = _two_days("cart_e2")
     return sql
 
 

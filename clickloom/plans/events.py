@@ -15,7 +15,7 @@ from clickloom.functions.params import param, param_num, single_valued
 from clickloom.operators.dedupe import latest_per_key
 from clickloom.operators.gates import gate, has_event
 from clickloom.operators.merge import MergeSpec, merge_table
-from clickloom.operators.rows import conform, events_upto, explode_items, require
+from clickloom.operators.rows import conform, events_upto, require, zip_items
 from clickloom.plans.identity import backfill_user
 from clickloom.plans.layout import Layout
 from clickloom.sources import tables
@@ -185,10 +185,10 @@ def _lookup(params: Column, lookups: Lookups, guard: str) -> list[Column]:
     return [column.alias(name) for name, column in columns.items()]
 
 
-def unpack(events: DataFrame, spec: EventSpec) -> DataFrame:
-    """One row per item with the parameters as columns; users as they come."""
+def flatten(events: DataFrame, spec: EventSpec) -> DataFrame:
+    """One row per event with items: parameters as columns, items cut to the fields in use."""
     fields = [*dict.fromkeys(spec.item_fields.values()), "item_params"]
-    flat = events.select(
+    flat = events.where(F.size("items") > 0).select(
         "event_date",
         "event_timestamp",
         "event_name",
@@ -197,7 +197,12 @@ def unpack(events: DataFrame, spec: EventSpec) -> DataFrame:
         *_lookup(F.col("event_params"), {**_EVENT_LOOKUPS, **spec.event_lookups}, guard="ga_session_number"),
         "items",
     )
-    rows = explode_items(flat, fields)
+    return zip_items(flat, fields)
+
+
+def unpack(flat: DataFrame, spec: EventSpec) -> DataFrame:
+    """One row per item with its parameters as columns."""
+    rows = flat.withColumn("item", F.explode("items")).drop("items")
     return rows.select(
         *[c for c in rows.columns if c != "item"],
         local_datetime(F.col("event_timestamp")).alias("event_datetime_kst"),
@@ -207,14 +212,17 @@ def unpack(events: DataFrame, spec: EventSpec) -> DataFrame:
     )
 
 
-def extract(raw: DataFrame, devices: DataFrame, spec: EventSpec, ds: str) -> DataFrame:
+def extract(raw: DataFrame, devices: DataFrame, spec: EventSpec, ds: str | None) -> DataFrame:
     """Item rows of one event up to ``ds``: users filled in, required fields present,
-    one row per key."""
-    events = events_upto(raw, spec.event, ds)
-    rows = require(unpack(events, spec), spec.item_key, "event_timestamp", "price")
+    one row per key.
+
+    Users are looked up per event, before the items are unpacked.
+    """
+    flat = require(flatten(events_upto(raw, spec.event, ds), spec), "event_timestamp")
     # A row without user and device can never get a user.
-    rows = rows.where(F.col("user_id").isNotNull() | F.col("user_pseudo_id").isNotNull())
-    rows = require(backfill_user(rows, devices, probe=events.select("user_id", "user_pseudo_id")), "user_id")
+    flat = flat.where(F.col("user_id").isNotNull() | F.col("user_pseudo_id").isNotNull())
+    filled = require(backfill_user(flat, devices), "user_id")
+    rows = require(unpack(filled, spec), spec.item_key, "price")
     rows = latest_per_key(rows, spec.keys, F.desc(spec.order))
     missing = [f for f in spec.schema.fields if f.name not in rows.columns]
     rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else rows

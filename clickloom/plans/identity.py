@@ -23,23 +23,15 @@ def identity_map(raw: DataFrame) -> DataFrame:
     return pairs.groupBy("user_pseudo_id").agg(F.max("user_id").alias("user_id"))
 
 
-def backfill_user(events: DataFrame, devices: DataFrame, probe: DataFrame | None = None) -> DataFrame:
+def backfill_user(events: DataFrame, devices: DataFrame) -> DataFrame:
     """Fill a missing ``user_id`` from the device; rows of unknown devices keep NULL.
 
     One pass over the events: rows that need no look-up join on a NULL key, spread
     over all partitions, so the events are not scanned a second time for them.
-    ``probe`` is a cheaper scan with ``user_id`` and ``user_pseudo_id`` to look for hot
-    devices in.
     """
-
-    def keyed(df: DataFrame) -> DataFrame:
-        return df.withColumn("_device", F.when(F.col("user_id").isNull(), F.col("user_pseudo_id")))
-
     known = devices.select(F.col("user_pseudo_id").alias("_device"), F.col("user_id").alias("_known"))
-    known = require(known, "_device")
-    joined = spread_join(
-        keyed(events), known, ["_device"], "left", probe=keyed(events if probe is None else probe), spread_nulls=True
-    )
+    keyed = events.withColumn("_device", F.when(F.col("user_id").isNull(), F.col("user_pseudo_id")))
+    joined = spread_join(keyed, require(known, "_device"), ["_device"], "left", spread_nulls=True)
     columns = [F.coalesce("user_id", "_known").alias("user_id") if c == "user_id" else F.col(c) for c in events.columns]
     return joined.select(*columns)
 

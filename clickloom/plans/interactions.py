@@ -35,12 +35,12 @@ def _facts(rows: DataFrame, event_type: str) -> DataFrame:
     return require(tag(rows.select(*_FACT_COLUMNS), event_type), "user_id", "item_id", "event_value")
 
 
-def view_facts(events: DataFrame, ds: str) -> DataFrame:
+def view_facts(events: DataFrame, ds: str | None) -> DataFrame:
     """Views as interactions; the day is taken from ``event_date``."""
     return _facts(upto(events, ds).withColumn("partition_date", parse_day(F.col("event_date"))), "view")
 
 
-def cart_facts(events: DataFrame, ds: str) -> DataFrame:
+def cart_facts(events: DataFrame, ds: str | None) -> DataFrame:
     """Cart additions as interactions; the day is taken from ``event_date``."""
     return _facts(upto(events, ds).withColumn("partition_date", parse_day(F.col("event_date"))), "cart")
 
@@ -55,13 +55,15 @@ def to_product(events: DataFrame, products: DataFrame) -> DataFrame:
     return events.drop("item_id").join(require(ids, "item_id"), "shopify_item_id", "inner")
 
 
-def wishlist_facts(events: DataFrame, products: DataFrame, ds: str) -> DataFrame:
+def wishlist_facts(events: DataFrame, products: DataFrame, ds: str | None) -> DataFrame:
     """Wishlist additions as interactions."""
     narrow = upto(events, ds).select("user_id", "shopify_item_id", "price", "event_timestamp", "partition_date")
     return _facts(to_product(require(narrow, "user_id", "price"), products), "like")
 
 
-def union_interactions(view: DataFrame, purchase: DataFrame, cart: DataFrame, wish: DataFrame, ds: str) -> DataFrame:
+def union_interactions(
+    view: DataFrame, purchase: DataFrame, cart: DataFrame, wish: DataFrame, ds: str | None
+) -> DataFrame:
     """All kinds in one shape up to ``ds``, time in seconds, rows complete.
 
     Purchases already carry seconds, the events micros.
@@ -84,7 +86,7 @@ def union_interactions(view: DataFrame, purchase: DataFrame, cart: DataFrame, wi
     return require(merged, "user_id", "item_id", "event_value", "event_type", "timestamp")
 
 
-def export_order(interactions: DataFrame, ds: str) -> DataFrame:
+def export_order(interactions: DataFrame, ds: str | None) -> DataFrame:
     """The export: newest first, ties in a fixed order.
 
     The last sort key spreads equal rows over several output parts; it does not show,
@@ -149,11 +151,12 @@ def wishlist(spark: SparkSession, layout: Layout, ds: str) -> bool:
 def combine(spark: SparkSession, layout: Layout, ds: str, export_base: str | None = None) -> None:
     """Add new interactions to the training set and export it."""
     name = layout.training("interaction_train_data")
-    tables.ensure_table(spark, name, schemas.INTERACTION_TRAIN)
+    tables.ensure_table(spark, name, schemas.INTERACTION_TRAIN, ["partition_date"])
     kinds = [
         spark.table(layout.training(t)) for t in ("view_item_data", "purchase_data", "cart_data", "wishlist_data")
     ]
     source = union_interactions(*kinds, ds)
     merge_table(spark, name, conform(source, schemas.INTERACTION_TRAIN), INTERACTION_MERGE)
     if export_base:
-        files.export_csv(export_order(spark.table(name), ds), export_base, "interaction/interaction_train_data", ds)
+        rows = export_order(spark.table(name), ds)
+        files.export_csv(rows, export_base, "interaction/interaction_train_data", ds, required=rows.columns)

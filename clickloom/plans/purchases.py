@@ -22,7 +22,7 @@ PURCHASE_MERGE = MergeSpec(
 
 
 def purchase_lines(
-    orders: DataFrame, shipments: DataFrame, lines: DataFrame, variants: DataFrame, products: DataFrame, ds: str
+    orders: DataFrame, shipments: DataFrame, lines: DataFrame, variants: DataFrame, products: DataFrame, ds: str | None
 ) -> DataFrame:
     """Order lines of known products whose order was made on ``ds`` or earlier, shop time.
 

@@ -32,5 +32,5 @@ def run(spark: SparkSession, layout: Layout, ds: str, export_base: str | None =
     source = user_train(layout.shop_table(spark, "users"))
     merge_table(spark, name, conform(source, schemas.USER_TRAIN), USER_MERGE, cheap_source=True)
     if export_base:
-        files.export_csv(spark.table(name), export_base, "user/user_train_data", ds)
+        files.export_csv(spark.table(name), export_base, "user/user_train_data", ds, required=spark.table(name).columns)
     return True

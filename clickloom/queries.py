@@ -1,13 +1,15 @@
 """Every operator and job as a named query over the given tables.
 
-Each runs over whole tables. Where a job has a run date, ``ALL_DAYS`` lets every row
-in; the merges take a table as of ``DAY_ONE`` and bring it up to ``ALL_DAYS``.
+Each runs over whole tables: without a run date every row enters. The merges take a table
+as of ``DAY_ONE`` and bring it up to the last day. What a query stores on the way is gone
+when it returns; what its result reads is a checkpoint that Spark's cleaner deletes.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +29,7 @@ from clickloom.functions.clock import (
 )
 from clickloom.functions.params import param, param_num
 from clickloom.operators.dedupe import latest_per_key
-from clickloom.operators.gates import count_having
+from clickloom.operators.gates import count_having, gate, has_event
 from clickloom.operators.merge import MergeSpec, merge_frames, merge_insert_only, merge_table
 from clickloom.operators.rows import (
     conform,
@@ -38,15 +40,13 @@ from clickloom.operators.rows import (
     upto,
     upto_utc,
 )
-from clickloom.operators.skew import will_broadcast
 from clickloom.plans import country, daily, events, identity, interactions, items, purchases, raw, users
 from clickloom.plans.layout import Layout
 from clickloom.sources import files, tables
-from clickloom.workspace import fresh_dir, stage
+from clickloom.workspace import discard, fresh_dir, kept
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-ALL_DAYS = "2030-12-31"
 DAY_ONE = "2024-01-15"
 DAY_TWO = "2024-01-16"
 PURCHASE_DAY = "1998-06-30"
@@ -62,11 +62,10 @@ def _plain(df: DataFrame) -> DataFrame:
     )
 
 
-def _devices(raw: DataFrame) -> DataFrame:
-    """The device table; written out when its size cannot be told beforehand, as the
-    jobs do, so that the join knows it."""
-    devices = identity.identity_map(raw)
-    return devices if will_broadcast(devices) else stage(devices, "devices")
+def _source(spark: SparkSession, sf: str, edits: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Raw events and devices, each computed once for all that read them."""
+    raw = kept(shapes.raw_data(spark, sf, edits))
+    return raw, kept(identity.identity_map(raw))
 
 
 def _shop(spark: SparkSession, sf: str, *names: str) -> list[DataFrame]:
@@ -129,13 +128,13 @@ def item_param_lookup(spark: SparkSession, sf: str) -> DataFrame:
 def backfill_user(spark: SparkSession, sf: str) -> DataFrame:
     raw = shapes.raw_data(spark, sf)
     rows = raw.select("event_timestamp", "event_name", "user_id", "user_pseudo_id")
-    return identity.backfill_user(rows, _devices(raw))
+    return identity.backfill_user(rows, identity.identity_map(rows))
 
 
-def _events(spec: events.EventSpec, ds: str = ALL_DAYS) -> Query:
+def _events(spec: events.EventSpec, ds: str | None = None) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         raw = shapes.raw_data(spark, sf)
-        return events.extract(raw, _devices(raw), spec, ds)
+        return events.extract(raw, identity.identity_map(raw), spec, ds)
 
     return run
 
@@ -183,25 +182,51 @@ def safe_casts(spark: SparkSession, sf: str) -> DataFrame:
 # ---- merges of event tables --------------------------------------------------------
 
 
-def _event_versions(spark: SparkSession, sf: str, spec: events.EventSpec) -> tuple[DataFrame, DataFrame]:
+Versions = Callable[[SparkSession, str], tuple[DataFrame, DataFrame]]
+
+
+def _event_versions(spec: events.EventSpec) -> Versions:
     """The table as of DAY_ONE, knowing only the devices of those days, and the rows of a
     later run in which some events were corrected."""
-    raw, later = shapes.raw_data(spark, sf), shapes.raw_data(spark, sf, edits=True)
-    first = events.extract(raw, _devices(upto(raw, DAY_ONE)), spec, DAY_ONE)
-    return stage(first, "day-one"), events.extract(later, _devices(later), spec, ALL_DAYS)
+
+    def run(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+        raw, (later, devices) = shapes.raw_data(spark, sf), _source(spark, sf, edits=True)
+        early = identity.identity_map(upto(raw, DAY_ONE))
+        return events.extract(raw, early, spec, DAY_ONE), events.extract(later, devices, spec, None)
+
+    return run
+
+
+def _merged(versions: Versions, spec: MergeSpec) -> Query:
+    """A merge as a pure plan."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        target, source = versions(spark, sf)
+        target, source = kept(target), kept(source)
+        if spec.watch is None:
+            return merge_insert_only(target, source, spec.keys, spec.nan_never_matches)
+        return merge_frames(target, source, spec)
+
+    return run
 
 
-def _merge_events(spec: events.EventSpec) -> Query:
+def _merged_table(versions: Versions, spec: MergeSpec, by_day: bool = True) -> Query:
+    """The same merge into a stored table: only partitions with changes are rewritten."""
+
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        target, source = _event_versions(spark, sf, spec)
-        return merge_frames(target, source, spec.merge)
+        with _database(spark, "merge") as db:
+            target, source = versions(spark, sf)
+            tables.ensure_table(spark, f"{db}.t", target.schema, ["partition_date"] if by_day else [])
+            tables.append(spark, f"{db}.t", target)
+            merge_table(spark, f"{db}.t", source, spec)
+            return kept(spark.table(f"{db}.t"))
 
     return run
 
 
 def _rerun_cart(null_safe: bool) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        rows = stage(_events(events.CART)(spark, sf), "cart")
+        rows = kept(_events(events.CART)(spark, sf))
         spec = events.CART.merge
         again = MergeSpec(spec.keys, spec.watch, spec.update, unique_source=True, null_safe_keys=null_safe)
         return merge_frames(rows, rows, again)
@@ -221,7 +246,7 @@ _PURCHASE_TABLES = (
 )
 
 
-def _purchases(ds: str) -> Query:
+def _purchases(ds: str | None) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         lines = purchases.purchase_lines(*_shop(spark, sf, *_PURCHASE_TABLES), ds)
         return _plain(conform(lines, schemas.PURCHASE_DATA))
@@ -229,9 +254,9 @@ def _purchases(ds: str) -> Query:
     return run
 
 
-def merge_purchases(spark: SparkSession, sf: str) -> DataFrame:
+def _purchase_versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     shop = _shop(spark, sf, *_PURCHASE_TABLES)
-    target = stage(conform(purchases.purchase_lines(*shop, PURCHASE_DAY), schemas.PURCHASE_DATA), "purchases")
+    target = conform(purchases.purchase_lines(*shop, PURCHASE_DAY), schemas.PURCHASE_DATA)
     orders, lines = shop[0], shop[2]
     # Every 13th order was touched since: a day later, all its lines refunded.
     touched = F.col("id") % 13 == 0
@@ -239,67 +264,74 @@ def merge_purchases(spark: SparkSession, sf: str) -> DataFrame:
     later = F.when(touched, next_day).otherwise(F.col("updated_at"))
     refund = F.when(F.col("order_fulfillment_id") % 13 == 0, F.lit(2.5)).otherwise(F.col("refunded_line_total"))
     shop[0], shop[2] = orders.withColumn("updated_at", later), lines.withColumn("refunded_line_total", refund)
-    source = stage(conform(purchases.purchase_lines(*shop, ALL_DAYS), schemas.PURCHASE_DATA), "purchases-later")
-    return _plain(merge_frames(target, source, purchases.PURCHASE_MERGE))
+    return target, conform(purchases.purchase_lines(*shop, None), schemas.PURCHASE_DATA)
+
+
+def _in_plain(query: Query) -> Query:
+    return lambda spark, sf: _plain(query(spark, sf))
 
 
 # ---- interactions ------------------------------------------------------------------
 
 
 def view_data(spark: SparkSession, sf: str) -> DataFrame:
-    rows = interactions.view_facts(_events(events.VIEW)(spark, sf), ALL_DAYS)
+    rows = interactions.view_facts(_events(events.VIEW)(spark, sf), None)
     return conform(rows, schemas.VIEW_ITEM_DATA)
 
 
 def cart_data(spark: SparkSession, sf: str) -> DataFrame:
-    rows = interactions.cart_facts(_events(events.CART)(spark, sf), ALL_DAYS)
+    rows = interactions.cart_facts(_events(events.CART)(spark, sf), None)
     return conform(rows, schemas.CART_DATA)
 
 
 def wishlist_data(spark: SparkSession, sf: str) -> DataFrame:
-    products = shapes.products(spark, sf)
-    rows = interactions.wishlist_facts(_events(events.WISH)(spark, sf), products, ALL_DAYS)
+    rows = interactions.wishlist_facts(_events(events.WISH)(spark, sf), shapes.products(spark, sf), None)
     return conform(rows, schemas.WISHLIST_DATA)
 
 
-def merge_facts(spark: SparkSession, sf: str) -> DataFrame:
-    """Views merged into a table where some rows carry another day and value."""
-    source = stage(view_data(spark, sf), "views")
-    moved = F.col("timestamp") % 7 == 0
-    target = upto(source, DAY_ONE).select(
-        "user_id",
-        "item_id",
-        F.when(moved, F.col("event_value") + 1).otherwise(F.col("event_value")).alias("event_value"),
-        "timestamp",
-        "event_type",
-        F.when(moved, F.date_add("partition_date", 1)).otherwise(F.col("partition_date")).alias("partition_date"),
-    )
-    return merge_frames(target, source, interactions.FACT_MERGE)
+def _fact_versions(facts: Query) -> Versions:
+    """The facts, and a table where some of them carry another day and value."""
 
+    def run(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+        source = kept(facts(spark, sf))
+        moved = F.col("timestamp") % 7 == 0
+        target = upto(source, DAY_ONE).select(
+            "user_id",
+            "item_id",
+            F.when(moved, F.col("event_value") + 1).otherwise(F.col("event_value")).alias("event_value"),
+            "timestamp",
+            "event_type",
+            F.when(moved, F.date_add("partition_date", 1)).otherwise(F.col("partition_date")).alias("partition_date"),
+        )
+        return target, source
 
-def _interactions(spark: SparkSession, sf: str, ds: str = ALL_DAYS) -> DataFrame:
-    purchase = purchases.purchase_lines(*_shop(spark, sf, *_PURCHASE_TABLES), ALL_DAYS)
-    rows = interactions.union_interactions(
-        view_data(spark, sf), purchase, cart_data(spark, sf), wishlist_data(spark, sf), ds
-    )
-    return conform(rows, schemas.INTERACTION_TRAIN)
+    return run
 
 
 def interaction_union(spark: SparkSession, sf: str) -> DataFrame:
-    return _interactions(spark, sf)
+    """All kinds of interaction; raw events and devices are computed once for the three kinds."""
+    raw, devices = _source(spark, sf)
+    view, cart, wish = (events.extract(raw, devices, spec, None) for spec in events.SPECS)
+    rows = interactions.union_interactions(
+        conform(interactions.view_facts(view, None), schemas.VIEW_ITEM_DATA),
+        purchases.purchase_lines(*_shop(spark, sf, *_PURCHASE_TABLES), None),
+        conform(interactions.cart_facts(cart, None), schemas.CART_DATA),
+        conform(interactions.wishlist_facts(wish, shapes.products(spark, sf), None), schemas.WISHLIST_DATA),
+        None,
+    )
+    return conform(rows, schemas.INTERACTION_TRAIN)
 
 
-def merge_interactions(spark: SparkSession, sf: str) -> DataFrame:
-    """Insert-only merge on all columns; a changed value makes a second row."""
-    source = stage(_interactions(spark, sf), "interactions")
+def _interaction_versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Insert-only on all columns; a changed value makes a second row."""
+    source = kept(interaction_union(spark, sf))
     changed = F.col("timestamp") % 5 == 0
     value = F.when(changed, F.col("event_value") + 1).otherwise(F.col("event_value"))
-    target = upto(source, DAY_ONE).withColumn("event_value", value)
-    return merge_insert_only(target, source, interactions.INTERACTION_MERGE.keys, ["event_value"])
+    return upto(source, DAY_ONE).withColumn("event_value", value), source
 
 
 def interaction_export(spark: SparkSession, sf: str) -> DataFrame:
-    return interactions.export_order(_interactions(spark, sf), ALL_DAYS)
+    return interactions.export_order(interaction_union(spark, sf), None)
 
 
 # ---- items and users ---------------------------------------------------------------
@@ -323,10 +355,10 @@ def product_categories(spark: SparkSession, sf: str) -> DataFrame:
     return items.with_categories(products, categories).select("id", "category_l1", "category_l2")
 
 
-def merge_items(spark: SparkSession, sf: str) -> DataFrame:
-    """Items merged into a table with another availability for some and another upper
+def _item_versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The items, and a table with another availability for some and another upper
     category for others; the latter get a second row."""
-    source = stage(conform(item_train(spark, sf), schemas.ITEM_TRAIN), "items")
+    source = kept(conform(item_train(spark, sf), schemas.ITEM_TRAIN))
     number = F.col("item_id").cast("bigint")
     flipped = F.when(F.col("is_available") == "true", "false").otherwise("true")
     target = source.select(
@@ -336,21 +368,21 @@ def merge_items(spark: SparkSession, sf: str) -> DataFrame:
         "category_l2",
         F.when(number % 7 == 0, flipped).otherwise(F.col("is_available")).alias("is_available"),
     )
-    return merge_frames(target, source, items.ITEM_MERGE)
+    return target, source
 
 
 def user_train(spark: SparkSession, sf: str) -> DataFrame:
     return users.user_train(shapes.users(spark, sf))
 
 
-def merge_users(spark: SparkSession, sf: str) -> DataFrame:
-    """Users merged into a table that lacks some and has another sign-up time for others."""
+def _user_versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The users, and a table that lacks some and has another sign-up time for others."""
     source = user_train(spark, sf)
     number = F.col("user_id").cast("bigint")
     target = source.where(number % 3 != 0).select(
         "user_id", F.when(number % 5 == 0, F.col("created_at") - 60).otherwise(F.col("created_at")).alias("created_at")
     )
-    return merge_insert_only(target, source, users.USER_MERGE.keys)
+    return target, source
 
 
 # ---- gates and previews ------------------------------------------------------------
@@ -372,6 +404,17 @@ def gate_created(spark: SparkSession, sf: str) -> DataFrame:
     return count_having(upto_utc(shapes.orders(spark, sf), "created_at", PURCHASE_DAY))
 
 
+def gate_states(spark: SparkSession, sf: str) -> DataFrame:
+    """What a gate says of the events, of an empty table and of one that is not there."""
+    raw = shapes.raw_data(spark, sf)
+    checks = {
+        "events": lambda: has_event(raw, "add_to_cart", DAY_ONE),
+        "empty": lambda: has_event(raw.where("event_name = 'no_such_event'"), "add_to_cart", DAY_ONE),
+        "missing": lambda: has_event(spark.table("no_such_database.no_such_table"), "add_to_cart", DAY_ONE),
+    }
+    return spark.createDataFrame([(name, gate(check)) for name, check in checks.items()], "name string, ready boolean")
+
+
 def preview_limit(spark: SparkSession, sf: str) -> DataFrame:
     return preview(shapes.table(spark, sf, "customer").orderBy("c_custkey"), 10)
 
@@ -383,133 +426,167 @@ def table_stats_query(spark: SparkSession, sf: str) -> DataFrame:
 # ---- tables and files --------------------------------------------------------------
 
 
-def _database(spark: SparkSession, label: str) -> str:
-    """A database of its own in the shared folder."""
-    name = f"clickloom_{label}_{uuid.uuid4().hex[:12]}"
-    tables.ensure_db(spark, name, fresh_dir(spark, label))
-    return name
+@contextmanager
+def _database(spark: SparkSession, label: str) -> Iterator[str]:
+    """A database of its own in the shared folder, gone with all its tables afterwards."""
+    name, path = f"clickloom_{label}_{uuid.uuid4().hex[:12]}", fresh_dir(spark, label)
+    tables.ensure_db(spark, name, path)
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+        discard(spark, path)
+
+
+@contextmanager
+def _folder(spark: SparkSession, label: str) -> Iterator[str]:
+    """A folder of its own in the shared folder, gone afterwards."""
+    path = fresh_dir(spark, label)
+    try:
+        yield path
+    finally:
+        discard(spark, path)
+
+
+_RAW_COLUMNS = ("event_date", "event_timestamp", "event_name", "user_id", "user_pseudo_id", "partition_date")
 
 
 def day_reload(spark: SparkSession, sf: str) -> DataFrame:
     """All days loaded, then DAY_ONE again from a shard that also holds the next day's
     first hours: its own day stays as it was, the other rows are there twice."""
-    db = _database(spark, "reload")
-    raw = shapes.raw_data(spark, sf).drop("partition_date")
-    start = 1_705_363_200_000_000  # 2024-01-16 00:00 UTC
-    early = (F.col("event_timestamp") >= start) & (F.col("event_timestamp") < start + 6 * 3_600_000_000)
-    shard = raw.where((F.col("event_date") == "20240115") | early)
-    shard.write.saveAsTable(f"{db}.{shard_name(DAY_ONE)}")
-    name = f"{db}.raw_data"
-    tables.ensure_raw(spark, name, db, DAY_ONE)
-    tables.append(spark, name, shapes.raw_data(spark, sf))
-    tables.reload_day(spark, name, tables.read_shard(spark, db, DAY_ONE), DAY_ONE)
-    return spark.table(name).select(
-        "event_date", "event_timestamp", "event_name", "user_id", "user_pseudo_id", "partition_date"
-    )
+    with _database(spark, "reload") as db:
+        whole = kept(shapes.raw_data(spark, sf))
+        raw = whole.drop("partition_date")
+        start = 1_705_363_200_000_000  # 2024-01-16 00:00 UTC
+        early = (F.col("event_timestamp") >= start) & (F.col("event_timestamp") < start + 6 * 3_600_000_000)
+        shard = raw.where((F.col("event_date") == "20240115") | early)
+        shard.write.saveAsTable(f"{db}.{shard_name(DAY_ONE)}")
+        name = f"{db}.raw_data"
+        tables.ensure_raw(spark, name, db, DAY_ONE)
+        tables.append(spark, name, whole)
+        tables.reload_day(spark, name, tables.read_shard(spark, db, DAY_ONE), DAY_ONE)
+        return kept(spark.table(name).select(*_RAW_COLUMNS))
 
 
 def shard_load(spark: SparkSession, sf: str) -> DataFrame:
     """All events in one shard, each row going to its own day; a day without a shard
     loads nothing."""
-    db = _database(spark, "shards")
-    layout = Layout(shards=db, events=db)
-    raw.load_day(spark, layout, DAY_ONE)
-    shapes.raw_data(spark, sf).drop("partition_date").write.saveAsTable(f"{db}.{shard_name(DAY_ONE)}")
-    for ds in (DAY_ONE, DAY_TWO):
-        raw.load_day(spark, layout, ds)
-    return spark.table(layout.event("raw_data")).select(
-        "event_date", "event_timestamp", "event_name", "user_id", "user_pseudo_id", "partition_date"
-    )
+    with _database(spark, "shards") as db:
+        layout = Layout(shards=db, events=db)
+        raw.load_day(spark, layout, DAY_ONE)
+        shapes.raw_data(spark, sf).drop("partition_date").write.saveAsTable(f"{db}.{shard_name(DAY_ONE)}")
+        for ds in (DAY_ONE, DAY_TWO):
+            raw.load_day(spark, layout, ds)
+        return kept(spark.table(layout.event("raw_data")).select(*_RAW_COLUMNS))
 
 
 def append_twice(spark: SparkSession, sf: str) -> DataFrame:
-    name = f"{_database(spark, 'append')}.users"
-    rows = user_train(spark, sf)
-    tables.ensure_table(spark, name, schemas.USER_TRAIN)
-    tables.append(spark, name, rows)
-    tables.append(spark, name, rows)
-    return spark.table(name)
+    with _database(spark, "append") as db:
+        rows = user_train(spark, sf)
+        tables.ensure_table(spark, f"{db}.users", schemas.USER_TRAIN)
+        tables.append(spark, f"{db}.users", rows)
+        tables.append(spark, f"{db}.users", rows)
+        return kept(spark.table(f"{db}.users"))
 
 
 def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """The device table built from some days, then rebuilt from all."""
-    name = f"{_database(spark, 'refresh')}.user_pseudo_id"
-    raw = shapes.raw_data(spark, sf)
-    tables.ensure_table(spark, name, schemas.USER_PSEUDO_ID)
-    tables.full_refresh(spark, name, identity.identity_map(upto(raw, DAY_ONE)))
-    tables.full_refresh(spark, name, identity.identity_map(raw))
-    return spark.table(name)
+    with _database(spark, "refresh") as db:
+        name, raw = f"{db}.user_pseudo_id", shapes.raw_data(spark, sf)
+        tables.ensure_table(spark, name, schemas.USER_PSEUDO_ID)
+        tables.full_refresh(spark, name, identity.identity_map(upto(raw, DAY_ONE)))
+        tables.full_refresh(spark, name, identity.identity_map(raw))
+        return kept(spark.table(name))
 
 
 def atomic_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """A table replaced by a version computed from itself."""
-    name = f"{_database(spark, 'atomic')}.users"
-    tables.ensure_table(spark, name, schemas.USER_TRAIN)
-    tables.append(spark, name, user_train(spark, sf))
-    later = spark.table(name).withColumn("created_at", F.col("created_at") + 1)
-    tables.atomic_refresh(spark, name, later, required=["user_id"])
-    return spark.table(name)
-
-
-def merge_into_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The view table kept current on disk: only changed days are rewritten."""
-    name = f"{_database(spark, 'merge')}.view_item_event"
-    first, later = _event_versions(spark, sf, events.VIEW)
-    tables.ensure_table(spark, name, events.VIEW.schema, ["partition_date"])
-    merge_table(spark, name, first, events.VIEW.merge)
-    merge_table(spark, name, later, events.VIEW.merge)
-    return spark.table(name)
+    with _database(spark, "atomic") as db:
+        name = f"{db}.users"
+        tables.ensure_table(spark, name, schemas.USER_TRAIN)
+        tables.append(spark, name, user_train(spark, sf))
+        later = spark.table(name).withColumn("created_at", F.col("created_at") + 1)
+        tables.atomic_refresh(spark, name, later, required=["user_id"])
+        return kept(spark.table(name))
+
+
+def failed_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """A refresh that breaks a rule leaves the rows as they were."""
+    with _database(spark, "failed") as db:
+        name = f"{db}.users"
+        tables.ensure_table(spark, name, schemas.USER_TRAIN)
+        tables.append(spark, name, user_train(spark, sf))
+        broken = spark.table(name).withColumn("user_id", F.when(F.col("created_at") % 120 == 0, F.col("user_id")))
+        try:
+            tables.atomic_refresh(spark, name, broken, required=["user_id"])
+        except ValueError:
+            return kept(spark.table(name))
+        raise AssertionError("the refresh should have failed")
 
 
 def _export(kind: str, rows: Query) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        base = fresh_dir(spark, "export")
-        files.export_csv(rows(spark, sf), base, f"{kind}/{kind}_train_data", DAY_ONE)
-        files.check_export(spark, base, kind, DAY_ONE)
-        return files.read_export(spark, base, kind, DAY_ONE)
+        with _folder(spark, "export") as base:
+            found = rows(spark, sf)
+            files.export_csv(found, base, f"{kind}/{kind}_train_data", DAY_ONE, required=found.columns)
+            files.check_export(spark, base, kind, DAY_ONE)
+            return kept(files.read_export(spark, base, kind, DAY_ONE))
 
     return run
 
 
-def _country_source(spark: SparkSession, sf: str) -> str:
+def _country_source(spark: SparkSession, sf: str, path: str) -> str:
     """A CSV of customers and their nations, as a landed file."""
     c, n = shapes.table(spark, sf, "customer"), shapes.table(spark, sf, "nation")
     named = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-    pairs = named.select(F.col("c_name").alias("country"), F.col("n_name").alias("capital"))
-    return files.land_csv(pairs, fresh_dir(spark, "csv"))
+    return files.land_csv(named.select(F.col("c_name").alias("country"), F.col("n_name").alias("capital")), path)
 
 
 def country_load(spark: SparkSession, sf: str) -> DataFrame:
-    db = _database(spark, "country")
-    country.load(spark, _country_source(spark, sf), fresh_dir(spark, "landing"), db)
-    return spark.table(f"{db}.country_capital")
+    with _database(spark, "country") as db, _folder(spark, "csv") as csv, _folder(spark, "landing") as landing:
+        country.load(spark, _country_source(spark, sf, csv), landing, db)
+        return kept(spark.table(f"{db}.country_capital"))
 
 
 def country_refresh(spark: SparkSession, sf: str) -> DataFrame:
-    db = _database(spark, "country")
-    path = _country_source(spark, sf)
-    country.refresh(spark, path, db)
-    return country.refresh(spark, path, db)
-
-
-def two_day_run(spark: SparkSession, sf: str) -> DataFrame:
-    """All jobs on two run dates over a history of raw days; the interaction training set."""
-    db = _database(spark, "days")
-    layout = Layout(shards=db, events=db, shop=f"{db}_shop", train=f"{db}_train")
-    tables.ensure_db(spark, layout.shop, fresh_dir(spark, "shop"))
-    tables.ensure_db(spark, layout.train, fresh_dir(spark, "train"))
-    for table in shapes.SHOP:
-        shapes.SHOP[table](spark, sf).write.saveAsTable(f"{layout.shop}.{table}")
-    raw = shapes.raw_data(spark, sf)
-    for ds in (DAY_ONE, DAY_TWO):
-        shard = raw.where(F.col("partition_date") == F.lit(ds).cast("date")).drop("partition_date")
-        shard.write.saveAsTable(f"{layout.shards}.{shard_name(ds)}")
-    name = layout.event("raw_data")
-    tables.ensure_raw(spark, name, layout.shards, DAY_ONE)
-    tables.append(spark, name, raw.where(F.col("partition_date") < F.lit(DAY_ONE).cast("date")))
-    for ds in (DAY_ONE, DAY_TWO):
-        daily.run_day(spark, layout, ds, fresh_dir(spark, "export"))
-    return spark.table(layout.training("interaction_train_data"))
+    with _database(spark, "country") as db, _folder(spark, "csv") as csv:
+        path = _country_source(spark, sf, csv)
+        country.refresh(spark, path, db)
+        return kept(country.refresh(spark, path, db))
+
+
+def _two_days(pick: Callable[[Layout], str]) -> Query:
+    """All jobs on two run dates, DAY_ONE and the last day of the events; one table they leave.
+
+    The days before the first date are history, those between the two are loaded before
+    the second run.
+    """
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        with (
+            _database(spark, "days") as db,
+            _database(spark, "shop") as shop,
+            _database(spark, "train") as train,
+            _folder(spark, "export") as export,
+        ):
+            layout = Layout(shards=db, events=db, shop=shop, train=train)
+            for table in shapes.SHOP:
+                shapes.SHOP[table](spark, sf).write.saveAsTable(f"{layout.shop}.{table}")
+            raw = kept(shapes.raw_data(spark, sf))
+            day, first = F.col("partition_date"), F.lit(DAY_ONE).cast("date")
+            last = raw.agg(F.max(day)).first()[0]
+            for ds in (DAY_ONE, str(last)):
+                shard = raw.where(day == F.lit(ds).cast("date")).drop("partition_date")
+                shard.write.saveAsTable(f"{layout.shards}.{shard_name(ds)}")
+            name = layout.event("raw_data")
+            tables.ensure_raw(spark, name, layout.shards, DAY_ONE)
+            tables.append(spark, name, raw.where(day < first))
+            daily.run_day(spark, layout, DAY_ONE, export)
+            tables.append(spark, name, raw.where((day > first) & (day < F.lit(last))))
+            daily.run_day(spark, layout, str(last), export)
+            return kept(spark.table(pick(layout)))
+
+    return run
 
 
 QUERIES: dict[str, Query] = {
@@ -527,31 +604,32 @@ QUERIES: dict[str, Query] = {
     "local_dates": local_dates,
     "event_days": event_days,
     "safe_casts": safe_casts,
-    "merge_view_events": _merge_events(events.VIEW),
-    "merge_cart_events": _merge_events(events.CART),
-    "merge_wishlist_events": _merge_events(events.WISH),
+    "merge_view_events": _merged(_event_versions(events.VIEW), events.VIEW.merge),
+    "merge_cart_events": _merged(_event_versions(events.CART), events.CART.merge),
+    "merge_wishlist_events": _merged(_event_versions(events.WISH), events.WISH.merge),
     "merge_null_keys": _rerun_cart(null_safe=False),
     "merge_null_safe_keys": _rerun_cart(null_safe=True),
-    "purchase_data": _purchases(ALL_DAYS),
+    "purchase_data": _purchases(None),
     "purchase_data_upto": _purchases(PURCHASE_DAY),
-    "merge_purchases": merge_purchases,
+    "merge_purchases": _in_plain(_merged(_purchase_versions, purchases.PURCHASE_MERGE)),
     "view_data": view_data,
     "cart_data": cart_data,
     "wishlist_data": wishlist_data,
-    "merge_facts": merge_facts,
+    "merge_facts": _merged(_fact_versions(view_data), interactions.FACT_MERGE),
     "interaction_union": interaction_union,
-    "merge_interactions": merge_interactions,
+    "merge_interactions": _merged(_interaction_versions, interactions.INTERACTION_MERGE),
     "interaction_export": interaction_export,
     "item_train": item_train,
     "item_stats": item_stats,
     "product_categories": product_categories,
-    "merge_items": merge_items,
+    "merge_items": _merged(_item_versions, items.ITEM_MERGE),
     "user_train": user_train,
-    "merge_users": merge_users,
+    "merge_users": _merged(_user_versions, users.USER_MERGE),
     "gate_event": gate_event,
     "gate_event_empty": gate_event_empty,
     "gate_partition": gate_partition,
     "gate_created": gate_created,
+    "gate_states": gate_states,
     "preview_limit": preview_limit,
     "table_stats": table_stats_query,
     "day_reload": day_reload,
@@ -559,11 +637,24 @@ QUERIES: dict[str, Query] = {
     "append_twice": append_twice,
     "full_refresh": full_refresh,
     "atomic_refresh": atomic_refresh,
-    "merge_into_table": merge_into_table,
+    "failed_refresh": failed_refresh,
+    "merge_into_table": _merged_table(_event_versions(events.VIEW), events.VIEW.merge),
+    "merge_into_cart_table": _merged_table(_event_versions(events.CART), events.CART.merge),
+    "merge_into_wishlist_table": _merged_table(_event_versions(events.WISH), events.WISH.merge),
+    "merge_into_view_data": _merged_table(_fact_versions(view_data), interactions.FACT_MERGE),
+    "merge_into_cart_data": _merged_table(_fact_versions(cart_data), interactions.FACT_MERGE),
+    "merge_into_wishlist_data": _merged_table(_fact_versions(wishlist_data), interactions.FACT_MERGE),
+    "merge_into_purchases": _in_plain(_merged_table(_purchase_versions, purchases.PURCHASE_MERGE)),
+    "merge_into_interactions": _merged_table(_interaction_versions, interactions.INTERACTION_MERGE),
+    "merge_into_items": _merged_table(_item_versions, items.ITEM_MERGE, by_day=False),
+    "merge_into_users": _merged_table(_user_versions, users.USER_MERGE, by_day=False),
     "interaction_csv": _export("interaction", interaction_export),
     "item_csv": _export("item", item_train),
     "user_csv": _export("user", user_train),
     "country_load": country_load,
     "country_refresh": country_refresh,
-    "two_day_run": two_day_run,
+    "two_day_run": _two_days(lambda t: t.training("interaction_train_data")),
+    "two_day_items": _two_days(lambda t: t.training("item_train_data")),
+    "two_day_users": _two_days(lambda t: t.training("user_train_data")),
+    "two_day_cart_events": _two_days(lambda t: t.event("add_to_cart_event")),
 }

@@ -7,7 +7,7 @@ items, values in different parameter fields, orders near midnight.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickloom import schemas
@@ -24,6 +24,20 @@ EVENT_NAMES = {
 }
 
 
+#: What tells lines of one order and number apart.
+LINE_ORDER = (
+    "l_partkey",
+    "l_suppkey",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+    "l_linestatus",
+    "l_shipdate",
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -43,9 +57,9 @@ def _param(key: str, string: str = "NULL", integer: str = "NULL", number: str |
     )
 
 
-def _item(i: int) -> str:
-    """The item at position ``i`` (0 or 1) as SQL."""
-    pk = f"((event_id * 7 + {i}) % 200)"
+def _item(i: int, parts: int) -> str:
+    """The item at position ``i`` (0 or 1) as SQL; there are as many items as ``parts``."""
+    pk = f"((event_id * 7 + {i}) % {parts})"
     params = ", ".join(
         [
             f"IF({pk} % 19 <> 0, {_param('item_id_wms', integer=pk)}, NULL)",
@@ -81,6 +95,7 @@ def raw_data(spark: SparkSession, sf_dir: str, edits: bool = False) -> DataFrame
             _param("value", number="k"),
         ]
     )
+    parts = max(1, table(spark, sf_dir, "part").count())
     names = " ".join(f"WHEN '{kind}' THEN '{name}'" for kind, name in EVENT_NAMES.items())
     events = table(spark, sf_dir, "events").withColumns(
         {
@@ -93,10 +108,10 @@ def raw_data(spark: SparkSession, sf_dir: str, edits: bool = False) -> DataFrame
         ntz_to_micros(F.col("ts")).alias("event_timestamp"),
         F.expr(f"CASE event_type {names} END AS event_name"),
         F.expr("IF(event_id % 3 <> 0 AND user_id % 50 <> 7, CAST(user_id AS STRING), NULL) AS user_id"),
-        F.expr("IF(event_id % 29 <> 0, concat('dev-', user_id % 100), NULL) AS user_pseudo_id"),
+        F.expr("IF(event_id % 29 <> 0, concat('dev-', user_id DIV 2), NULL) AS user_pseudo_id"),
         F.expr(f"array_compact(array({params})) AS event_params"),
         # Positions 0 and 2 hold the same item.
-        F.expr(f"IF(k % 13 <> 5, slice(array({_item(0)}, {_item(1)}, {_item(0)}), 1, k % 4), NULL) AS items"),
+        F.expr(f"IF(k % 13 <> 5, slice(array({_item(0, parts)}, {_item(1, parts)}, {_item(0, parts)}), 1, k % 4), NULL) AS items"),
         F.expr("to_date(ts) AS partition_date"),
     )
     return conform(rows, schemas.RAW_DATA)
@@ -131,15 +146,14 @@ def order_fulfillment_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_fulfillment_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     refund = F.when(F.col("l_returnflag") == "R", F.lit(1.5)).when(F.col("l_returnflag") == "N", F.lit(0.0))
-    grouped = lines.groupBy("l_orderkey", "l_linenumber").agg(
-        F.min("l_partkey").alias("part"), F.min("l_quantity").alias("quantity"), F.min(refund).alias("refund")
-    )
-    return grouped.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+    # Line numbers repeat within an order; the place among equals makes ids of all lines.
+    place = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*LINE_ORDER))
+    return lines.select(
+        ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000 + place).alias("id"),
         F.col("l_orderkey").alias("order_fulfillment_id"),
-        (F.col("part") * 2).alias("product_variant_id"),
-        "quantity",
-        F.col("refund").alias("refunded_line_total"),
+        (F.col("l_partkey") * 2).alias("product_variant_id"),
+        F.col("l_quantity").alias("quantity"),
+        refund.alias("refunded_line_total"),
     )
 
 

@@ -11,7 +11,6 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from clickloom.functions.clock import shard_name
 from clickloom.operators.rows import conform, with_partition_date
-from clickloom.operators.skew import SMALL_BYTES, estimated_bytes
 from clickloom.workspace import discard
 
 _PREVIOUS = "clickloom.previous"
@@ -70,11 +69,6 @@ def _write_ready(spark: SparkSession, name: str, df: DataFrame, gather: bool = T
     parts = partition_columns(spark, name)
     if not gather or not parts:
         return df
-    if estimated_bytes(df) < SMALL_BYTES:
-        # By size alone this would become one task, which then writes the files of all
-        # partitions one after the other.
-        tasks = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        return df.repartition(tasks, *parts)
     # AQE splits a partition that is too large for one task.
     return df.hint("rebalance", *[F.col(c) for c in parts])
 
@@ -87,17 +81,17 @@ def append(spark: SparkSession, name: str, df: DataFrame, gather: bool = True) -
     _write_ready(spark, name, df, gather).write.mode("append").insertInto(name)
 
 
-def overwrite_partitions(spark: SparkSession, name: str, df: DataFrame) -> None:
-    """Replace exactly the partitions that occur in ``df``."""
-    rows = _write_ready(spark, name, df)
-    # insertInto takes the mode from the session only.
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        rows.write.mode("overwrite").insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(setting, before)
+def overwrite_partitions(spark: SparkSession, name: str, path: str) -> None:
+    """Replace exactly the partitions that occur in the Parquet rows at ``path``.
+
+    insertInto takes the mode from the session only, so a child session does this and no
+    other write sees the mode.
+    """
+    child = spark.newSession()
+    child.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    rows = child.read.schema(spark.table(name).schema).parquet(path)
+    _write_ready(child, name, rows).write.mode("overwrite").insertInto(name, overwrite=True)
+    spark.catalog.refreshTable(name)
 
 
 def reload_day(spark: SparkSession, name: str, shard: DataFrame, ds: str) -> None:

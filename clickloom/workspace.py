@@ -17,6 +17,9 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
         named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+        local = named.startswith(("file:", "/")) and "://" not in named.removeprefix("file://")
+        if local and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
@@ -26,6 +29,13 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/clickloom/{label}-{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` computed once, in a checkpoint that Spark's cleaner deletes when nothing reads it any more."""
+    if not df.sparkSession.sparkContext.getCheckpointDir():
+        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()
+
+
 def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and return a scan of it."""
     path = path or fresh_dir(df.sparkSession, label)

@@ -75,9 +75,11 @@ def test_export_check(spark, tmp_path):
     files.export_csv(good, str(tmp_path), "user/user_train_data", "2024-01-15")
     assert files.check_export(spark, str(tmp_path), "user", "2024-01-15") == 1
     bad = spark.createDataFrame([("a", None)], schemas.USER_TRAIN)
-    files.export_csv(bad, str(tmp_path), "user/user_train_data", "2024-01-16")
     with pytest.raises(ValueError, match="created_at"):
-        files.check_export(spark, str(tmp_path), "user", "2024-01-16")
+        files.export_csv(bad, str(tmp_path), "user/user_train_data", "2024-01-16", required=bad.columns)
+    odd = spark.createDataFrame([("", 1), ('two\nlines "quoted", and a comma', 2)], schemas.USER_TRAIN)
+    files.export_csv(odd, str(tmp_path), "user/user_train_data", "2024-01-18", required=odd.columns)
+    assert files.check_export(spark, str(tmp_path), "user", "2024-01-18") == 2
     files.export_csv(good.where("1 = 0"), str(tmp_path), "user/user_train_data", "2024-01-17")
     with pytest.raises(Exception):
         files.check_export(spark, str(tmp_path), "user", "2024-01-17")

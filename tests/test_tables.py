@@ -141,12 +141,20 @@ def test_explode_drops_missing_and_empty_lists(spark):
     assert rows(got) == [(1, 1, "x"), (1, 2, None)]
 
 
-def test_large_writes_are_rebalanced(spark, db, monkeypatch):
-    monkeypatch.setattr(tables, "SMALL_BYTES", 0)
+def test_writes_are_rebalanced_and_touch_only_their_partitions(spark, db, tmp_path):
     name = f"{db}.t"
     df = spark.range(300).select("id", (F.col("id") % 3).cast("string").alias("d"))
     tables.ensure_table(spark, name, df.schema, ["d"])
     tables.append(spark, name, df)
-    tables.overwrite_partitions(spark, name, df.where("d = '1'").withColumn("id", -F.col("id")))
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    df.where("d = '1'").withColumn("id", -F.col("id")).write.parquet(f"{tmp_path}/rows")
+    tables.overwrite_partitions(spark, name, f"{tmp_path}/rows")
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
     got = spark.table(name).groupBy("d").agg(F.sum(F.signum("id")).alias("s"), F.count("id").alias("n"))
     assert {(r["d"], r["s"], r["n"]) for r in got.collect()} == {("0", 99, 100), ("1", -100, 100), ("2", 100, 100)}
+
+
+def test_no_bound_lets_late_rows_in(spark):
+    late = spark.sql("SELECT date'2199-01-01' AS partition_date, timestamp'2199-01-01' AS created_at")
+    assert upto(late, None).count() == upto_utc(late, "created_at", None).count() == 1
+    assert upto(late, "2030-12-31").count() == 0
