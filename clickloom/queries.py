@@ -555,8 +555,8 @@ def country_refresh(spark: SparkSession, sf: str) -> DataFrame:
         return kept(country.refresh(spark, path, db))
 
 
-def _two_days(pick: Callable[[Layout], str]) -> Query:
-    """All jobs on two run dates, DAY_ONE and the last day of the events; one table they leave.
+def _two_days(pick: Callable[[Layout], str], jobs: Callable[..., object] = daily.run_day) -> Query:
+    """All jobs, or some, on two run dates, DAY_ONE and the last day of the events; one table they leave.
 
     The days before the first date are history, those between the two are loaded before
     the second run.
@@ -581,9 +581,9 @@ def _two_days(pick: Callable[[Layout], str]) -> Query:
             name = layout.event("raw_data")
             tables.ensure_raw(spark, name, layout.shards, DAY_ONE)
             tables.append(spark, name, raw.where(day < first))
-            daily.run_day(spark, layout, DAY_ONE, export)
+            jobs(spark, layout, DAY_ONE, export)
             tables.append(spark, name, raw.where((day > first) & (day < F.lit(last))))
-            daily.run_day(spark, layout, str(last), export)
+            jobs(spark, layout, str(last), export)
             return kept(spark.table(pick(layout)))
 
     return run
@@ -654,7 +654,9 @@ QUERIES: dict[str, Query] = {
     "country_load": country_load,
     "country_refresh": country_refresh,
     "two_day_run": _two_days(lambda t: t.training("interaction_train_data")),
-    "two_day_items": _two_days(lambda t: t.training("item_train_data")),
-    "two_day_users": _two_days(lambda t: t.training("user_train_data")),
-    "two_day_cart_events": _two_days(lambda t: t.event("add_to_cart_event")),
+    "two_day_items": _two_days(lambda t: t.training("item_train_data"), items.run),
+    "two_day_users": _two_days(lambda t: t.training("user_train_data"), users.run),
+    "two_day_cart_events": _two_days(
+        lambda t: t.event("add_to_cart_event"), lambda spark, layout, ds, _: daily.run_events(spark, layout, ds)
+    ),
 }
