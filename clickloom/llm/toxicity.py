@@ -144,7 +144,9 @@ def train(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "
             (draw < SAMPLE / total).alias("u"),
         ).where("p OR u")
         texts = docs.select(F.col(doc).alias("_id"), F.col(text).alias("t"))
-        sample = scratch.table(texts.join(picked, F.col("_id") == F.col("_doc")).select("_id", "t", "p", "u"), "sample")
+        # At most SAMPLE ids of either kind (as expected numbers), so the texts need not move.
+        chosen = texts.join(F.broadcast(picked), F.col("_id") == F.col("_doc"))
+        sample = scratch.table(chosen.select("_id", "t", "p", "u"), "sample")
         n_p, n_u = sample.agg(F.sum(F.col("p").cast("int")), F.sum(F.col("u").cast("int"))).first()
         if not n_p or not n_u:
             return Model(np.zeros(0, U), np.zeros(0), float(np.log(prior / (1 - prior))))
