@@ -38,7 +38,7 @@ class MergeSpec:
 
     ``watch`` None means insert-only. ``unique_source`` promises at most one source
     row per key (NULLs equal), as after ``latest_per_key`` on the same keys; it
-    saves the aggregation and the look for hot keys.
+    saves the look for NULL keys.
     """
 
     keys: tuple[str, ...]
@@ -212,7 +212,7 @@ def merge_table(
     partitioned = tables.partition_columns(spark, name)
     try:
         if not spec.unique_source and not cheap_source:
-            # Read twice below: by the look for hot keys and NULL keys, and by the join.
+            # Read twice below: for rows with NULL keys and by the join.
             source = stage(source, "source", f"{work}/source")
         inserts, candidates = stage_split(changes(target, source, spec), "_insert", "changes", f"{work}/changes")
         if spec.watch is not None and not candidates.isEmpty():
