@@ -11,8 +11,6 @@ from clickloom.workspace import discard, fresh_dir, shared_dir
 
 #: A word: a run of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
-#: What stands between words.
-GAP = r"[\x20\x09-\x0D]+"
 
 
 def spare(df: DataFrame, name: str) -> str:
@@ -106,6 +104,8 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
             if after == before:
                 break
             before = after
+        else:
+            raise RuntimeError(f"components still change after {rounds} rounds")
         return settle(now.groupBy(a.alias("node")).agg(F.min("b").alias("component")).unionByName(
             now.select(b.alias("node"), b.alias("component")).distinct()))
 
