@@ -16,6 +16,8 @@ from clickloom.operators import (
     preview,
     require,
     table_stats,
+    upto,
+    upto_utc,
 )
 from clickloom.plans import raw
 from clickloom.plans.layout import Layout
