@@ -157,9 +157,10 @@ def near_duplicates(
         named = scratch.table(named.drop("centre"), "named")
         open_ = named.groupBy("band", "key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
         open_ = scratch.table(open_.where("x != y").select("band", "key"), "open")
-        close = scratch.table(_close_pairs(named.join(open_, ["band", "key"]), distinct), "close")
-        close = scratch.table(close.join(stars, ["a", "b"], "left_anti"), "pairs")
-        more = scratch.table(_confirm(scratch, rows, close, words, percent), "more-links")
+        unsettled = scratch.table(named.join(open_, ["band", "key"]), "unsettled")
+        sets = scratch.table(_full_sets(scratch, rows, unsettled.select("node"), words), "full-sets")
+        sets = sets.withColumnRenamed("id", "node").join(distinct.select("node", "sig"), "node")
+        more = scratch.table(_exhaust(unsettled, sets, percent).distinct(), "more-links")
         if not more.isEmpty():
             found = components(linked.unionByName(more))
         out = base.join(nodes, print_, "left").join(found, "node", "left")
@@ -169,12 +170,16 @@ def near_duplicates(
         return settle(out.withColumn("kept", F.col("doc_id") == F.col("component_id")))
 
 
+def _full_sets(scratch: Scratch, rows: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """Sorted shingle hashes (id, s) of the texts with these ids."""
+    wanted = scratch.table(ids.toDF("id").distinct(), "wanted")
+    texts = rows.withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi")
+    return texts.mapInArrow(_sets(words), "id bigint, s array<bigint>")
+
+
 def _confirm(scratch: Scratch, rows: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    wanted = scratch.table(wanted, "wanted")
-    texts = rows.withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi")
-    sets = scratch.table(texts.mapInArrow(_sets(words), "id bigint, s array<bigint>"), "sets")
+    sets = scratch.table(_full_sets(scratch, rows, pairs.select("a").union(pairs.select("b")), words), "sets")
     second = pairs.join(sets.select(F.col("id").alias("b"), F.col("s").alias("t")), "b")
     both = second.join(sets.select(F.col("id").alias("a"), "s"), "a")
     shared = F.size(F.array_intersect("s", "t"))
@@ -182,38 +187,63 @@ def _confirm(scratch: Scratch, rows: DataFrame, pairs: DataFrame, words: int, pe
     return both.where(100 * shared >= percent * union).select("a", "b").distinct()
 
 
-def _close_pairs(members: DataFrame, distinct: DataFrame) -> DataFrame:
-    """Pairs (a, b) of one bucket, of different components, with close signatures.
+def _exhaust(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between different components of one bucket.
 
-    A bucket is cut into blocks by hash; block meets block in one task, which compares
-    bytes and gives only close pairs out.
+    A bucket is cut into blocks by hash; block meets block in one task. Pairs with close
+    signatures are confirmed there on the full sets, unless links found before join them
+    already, so a task gives out a forest and never all pairs.
     """
-    blocks = members.join(distinct.select("node", "sig"), "node").withColumn(
+    blocks = members.join(sets, "node").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / BLOCK)).cast("int")
     )
     packed = blocks.groupBy("band", "key", "block").agg(
-        F.collect_list(F.struct("node", "component", "sig")).alias("left")
+        F.collect_list(F.struct("node", "component", "sig", "s")).alias("left")
     )
     other = packed.select("band", "key", F.col("block").alias("other"), F.col("left").alias("right"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for left, right in zip(batch.column(0), batch.column(1), strict=True):
-                a, b = _members(left), _members(right)
-                for i in range(len(a[0])):
-                    near = (a[2][i] == b[2]).sum(axis=1) >= CLOSE * BINS
-                    near &= (b[1] != a[1][i]) & (b[0] != a[0][i])
-                    if near.any():
-                        ids = b[0][near]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.minimum(ids, a[0][i])), pa.array(np.maximum(ids, a[0][i]))], ["a", "b"]
-                        )
+                links = _links(_members(left), _members(right), percent)
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links, strict=True)], ["a", "b"])
 
     pairs = packed.join(other, ["band", "key"]).where("block <= other").select("left", "right")
-    return pairs.mapInArrow(compare, "a bigint, b bigint").distinct()
-
-
-def _members(cell: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return pairs.mapInArrow(compare, "a bigint, b bigint")
+
+
+def _links(a: tuple, b: tuple, percent: int) -> list[tuple[int, int]]:
+    """A forest of confirmed links between members of two blocks (which may be the same)."""
+    names, component = np.unique(np.r_[a[1], b[1]], return_inverse=True)
+    mine, theirs = component[: len(a[1])], component[len(a[1]) :]
+    parent = np.arange(len(names))
+    links = []
+    for i in range(len(a[0])):
+        j = np.flatnonzero(parent[theirs] != parent[mine[i]])
+        j = j[(a[2][i] == b[2][j]).sum(axis=1) >= CLOSE * BINS] if len(j) else j
+        if not len(j):
+            continue
+        s, flat = a[3][i], np.concatenate([b[3][x] for x in j])
+        sizes = np.array([len(b[3][x]) for x in j])
+        hit = s[np.minimum(np.searchsorted(s, flat), len(s) - 1)] == flat
+        shared = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes) - sizes)
+        for x in j[100 * shared >= percent * (len(s) + sizes - shared)]:
+            old, new = parent[theirs[x]], parent[mine[i]]
+            if old != new:
+                parent[parent == old] = new
+                links.append((min(int(a[0][i]), int(b[0][x])), max(int(a[0][i]), int(b[0][x]))))
+    return links
+
+
+def _members(cell: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
     values = cell.values
     sig = np.frombuffer(b"".join(values.field("sig").to_pylist()), np.uint8).reshape(-1, BINS)
-    return values.field("node").to_numpy(), values.field("component").to_numpy(), sig
+    sets = values.field("s")
+    at, flat = sets.offsets.to_numpy(), sets.values.to_numpy().view(U)
+    return (
+        values.field("node").to_numpy(),
+        values.field("component").to_numpy(),
+        sig,
+        [flat[x:y] for x, y in zip(at[:-1], at[1:], strict=True)],
+    )
