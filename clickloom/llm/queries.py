@@ -97,7 +97,7 @@ def op7_minhash(spark: SparkSession, sf: str) -> DataFrame:
 def op8_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     pieces = sentencepiece_ids.Pieces.load()
-    both = sentencepiece_ids.decode(sentencepiece_ids.encode(docs, pieces), pieces)
+    both = sentencepiece_ids.encode_and_decode(docs, pieces)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_ids"),

@@ -18,14 +18,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, StructField, StructType
 
 from clickloom.llm.repeats import BYTE
 from clickloom.llm.shingles import U, mix, powers, spans, text_bytes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Text bytes to a batch of distinct words, lattice cells to a fold, longest word folded in bulk.
-BATCH, CELLS, BULK = 4 << 20, 2_000_000, 40
+BATCH, CELLS, BULK = 1 << 20, 500_000, 40
 SLOTS = 19
 NONE = np.iinfo(np.int32).max
 SPACE = "▁"
@@ -321,17 +321,11 @@ def _encode_texts(data: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> tupl
     return flat, each
 
 
-def encode(docs: DataFrame, pieces: Pieces, text: str = "text", into: str = "ids") -> DataFrame:
-    """``docs`` with the piece ids of ``text`` in an array column ``into``.
+Batches = Iterator[pa.RecordBatch]
 
-    Empty and NULL texts get an empty array; rows, order and other columns stay; a column
-    that is named ``into`` already is replaced; an empty table stays empty. The ids are
-    those of the model's own library without normalisation rules.
-    """
-    docs = docs.drop(into)
-    place, names = docs.columns.index(text), [*docs.columns, into]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _encoder(pieces: Pieces, place: int, names: list[str]):
+    def run(batches: Batches) -> Batches:
         for batch in batches:
             column = pc.replace_substring(batch.column(place), SPACE, " ")
             data, offsets = text_bytes(column)
@@ -340,23 +334,15 @@ def encode(docs: DataFrame, pieces: Pieces, text: str = "text", into: str = "ids
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(count)].astype(np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, lists], names)
 
-    kind = StructType([*docs.schema.fields, StructField(into, ArrayType(IntegerType()))])
-    return docs.mapInArrow(run, kind)
+    return run
 
 
-def decode(docs: DataFrame, pieces: Pieces, ids: str = "ids", into: str = "decoded") -> DataFrame:
-    """``docs`` with the text of ``ids`` in a column ``into``.
-
-    Pieces are joined and one leading space is taken off; bytes that are no UTF-8 become
-    U+FFFD; NULL arrays and NULL or unknown ids give nothing. Otherwise as ``encode``.
-    """
-    docs = docs.drop(into)
-    place, names = docs.columns.index(ids), [*docs.columns, into]
+def _decoder(pieces: Pieces, place: int, names: list[str]):
     size = np.array([len(t) for t in pieces.texts] + [0])
     data = np.frombuffer(b"".join(pieces.texts), np.uint8)
     start = np.cumsum(size) - size
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
                 part = batch.slice(a, 512)
@@ -372,4 +358,42 @@ def decode(docs: DataFrame, pieces: Pieces, ids: str = "ids", into: str = "decod
                     texts.append(one[1:] if one.startswith(" ") else one)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names)
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(into, StringType())]))
+    return run
+
+
+def _with(docs: DataFrame, name: str, kind: DataType) -> StructType:
+    return StructType([*docs.schema.fields, StructField(name, kind)])
+
+
+def encode(docs: DataFrame, pieces: Pieces, text: str = "text", into: str = "ids") -> DataFrame:
+    """``docs`` with the piece ids of ``text`` in an array column ``into``.
+
+    Empty and NULL texts get an empty array; rows, order and other columns stay; a column
+    that is named ``into`` already is replaced; an empty table stays empty. The ids are
+    those of the model's own library without normalisation rules.
+    """
+    docs = docs.drop(into)
+    run = _encoder(pieces, docs.columns.index(text), [*docs.columns, into])
+    return docs.mapInArrow(run, _with(docs, into, ArrayType(IntegerType())))
+
+
+def decode(docs: DataFrame, pieces: Pieces, ids: str = "ids", into: str = "decoded") -> DataFrame:
+    """``docs`` with the text of ``ids`` in a column ``into``.
+
+    Pieces are joined and one leading space is taken off; bytes that are no UTF-8 become
+    U+FFFD; NULL arrays and NULL or unknown ids give nothing. Otherwise as ``encode``.
+    """
+    docs = docs.drop(into)
+    run = _decoder(pieces, docs.columns.index(ids), [*docs.columns, into])
+    return docs.mapInArrow(run, _with(docs, into, StringType()))
+
+
+def encode_and_decode(
+    docs: DataFrame, pieces: Pieces, text: str = "text", ids: str = "ids", into: str = "decoded"
+) -> DataFrame:
+    """``decode(encode(docs))`` in one Python worker a task instead of two."""
+    docs = docs.drop(ids, into)
+    there = _encoder(pieces, docs.columns.index(text), [*docs.columns, ids])
+    back = _decoder(pieces, len(docs.columns), [*docs.columns, ids, into])
+    kind = _with(docs, ids, ArrayType(IntegerType())).add(into, StringType())
+    return docs.mapInArrow(lambda batches: back(there(batches)), kind)

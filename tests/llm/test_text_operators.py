@@ -163,6 +163,7 @@ def test_piece_ids_of_odd_rows(odd_docs):
     got = sentencepiece_ids.decode(sentencepiece_ids.encode(odd_docs, pieces), pieces)
     assert got.count() == odd_docs.count()
     assert got.where("coalesce(text, '') != decoded").isEmpty()
+    assert rows(sentencepiece_ids.encode_and_decode(odd_docs, pieces)) == rows(got)
     assert got.where("size(ids) = 0").select("doc_id").distinct().count() == 2
     assert sentencepiece_ids.encode(odd_docs.where("doc_id > 999"), pieces).collect() == []
 
