@@ -83,7 +83,7 @@ def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op5_sentence_spans(spark: SparkSession, sf: str) -> DataFrame:
-    return sentence_spans.remove_repeated_spans(_table(spark, sf, "documents"))
+    return sentence_spans.remove_repeated_spans(_table(spark, sf, "documents"), whole=True)
 
 
 def op6_cross_polytope(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,12 +2,13 @@
 
 Every run of RUN consecutive sentences is hashed and all runs meet in one join; sentences
 that a run covers which is not the first of its kind go. Runs of very few words say
-nothing and do not count.
+nothing: they do not count or, if ``whole``, go on until they hold LEAST_WORDS words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -52,34 +53,50 @@ def sentences(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarr
         yield first, last, text[start], begin[start] - offsets[first + text[start]], count, value
 
 
-def _runs(text: np.ndarray, count: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First sentence and hash of every run of RUN sentences of one text with enough words."""
-    n = len(text) - RUN + 1
-    if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, U)
-    words, mixed = np.zeros(n, np.int64), np.zeros(n, U)
-    for j in range(RUN):
-        words += count[j : j + n]
-        mixed = mixed * FACTOR + value[j : j + n]
-    some = np.flatnonzero((text[:n] == text[RUN - 1 :]) & (words >= LEAST_WORDS))
-    return some, mix(mixed[some])
+def _runs(
+    text: np.ndarray, count: np.ndarray, value: np.ndarray, whole: bool
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First sentence, sentences and hash of the runs of one text with enough words.
 
-
-def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    If ``whole``, the shortest run of at least RUN sentences and LEAST_WORDS words goes out
+    from every sentence and another leads up to every sentence, so together they cover any
+    longer passage to both its ends. If not, runs have RUN sentences.
+    """
+    n = len(text)
+    place, words = np.arange(n), np.r_[0, np.cumsum(count)]
+    stop = np.maximum(place + RUN, np.searchsorted(words, words[:-1] + LEAST_WORDS))
+    start = np.minimum(place + 1 - RUN, np.searchsorted(words, words[1:] - LEAST_WORDS, "right") - 1)
+    out = place[stop <= np.searchsorted(text, text, "right")]
+    up_to = place[start >= np.searchsorted(text, text)]
+    # Most runs that lead up to a sentence are those that go out from their first.
+    up_to = up_to[stop[start[up_to]] != up_to + 1]
+    if not whole:
+        out, up_to = out[stop[out] == out + RUN], up_to[:0]
+    first, end = np.r_[out, start[up_to]], np.r_[stop[out], up_to + 1]
+    up = np.cumprod(np.r_[U(1), np.full(n, FACTOR, U)], dtype=U)
+    down = np.cumprod(np.r_[U(1), np.full(n, _FACTOR_INVERSE, U)], dtype=U)
+    total = np.r_[U(0), np.cumsum(value * up[:-1], dtype=U)]
+    return first, end - first, mix((total[end] - total[first]) * down[first] + (end - first).astype(U))
+
+
+def _spans(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, prints = (batch.column(c).to_numpy() for c in (0, 1))
         for first, last, text, _, count, value in sentences(batch.column(2)):
-            at, hashes = _runs(text, count, value)
+            at, size, hashes = _runs(text, count, value, whole)
             sentence = at - np.searchsorted(text, text[at])
             doc = first + text[at]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes.view(np.int64)), pa.array(ids[doc]), pa.array(prints[doc]), pa.array(sentence.astype(np.int32))],
-                ["h", "doc_id", "print", "place"],
+                [
+                    pa.array(hashes.view(np.int64)), pa.array(ids[doc]), pa.array(prints[doc]),
+                    pa.array(sentence.astype(np.int32)), pa.array(size.astype(np.int8)),
+                ],
+                ["h", "doc_id", "print", "place", "size"],
             )
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts without the sentences of the runs that begin at the given places."""
+    """Texts without the sentences of the given runs (place, size)."""
     for batch in batches:
         data, offsets = text_bytes(batch.column(1))
         total = np.zeros(batch.num_rows, np.int64)
@@ -93,10 +110,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if not gone[i].is_valid:
                     continue
                 a, b = edges[i - first], edges[i - first + 1]
-                cut = np.zeros(b - a, bool)
-                places = gone[i].values.to_numpy()
-                for j in range(RUN):
-                    cut[places + j] = True
+                places, sizes = (c.to_numpy() for c in gone[i].values.flatten())
+                edge = np.zeros(b - a + 1, np.int64)
+                np.add.at(edge, places, 1)
+                np.add.at(edge, places + sizes, -1)
+                cut = np.cumsum(edge[:-1]) > 0
                 size = offsets[i + 1] - offsets[i]
                 stop = np.r_[begin[a + 1 : b], size]
                 mark = np.zeros(size + 1, np.int32)
@@ -111,9 +129,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def remove_repeated_spans(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeated_spans(docs: DataFrame, doc: str = "doc_id", text: str = "text", whole: bool = False) -> DataFrame:
     """Per row: doc_id, n_sentences, n_removed, text (what is left).
 
+    ``whole`` removes repeated passages of short sentences too, all of whose pairs have fewer
+    than LEAST_WORDS words: runs go on over further sentences until they hold enough words.
+
     The first of equal runs is the one in the smallest doc_id, there the earliest; all
     others go, within one text too. White space between words does not tell runs apart.
     NULL texts are empty; empty texts and those of fewer than RUN sentences stay as they
@@ -125,7 +146,7 @@ def remove_repeated_spans(docs: DataFrame, doc: str = "doc_id", text: str = "tex
         F.col(doc).cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), F.col(text).cast("string").alias("text")
     )
     with Scratch(spark) as scratch:
-        runs = rows.mapInArrow(_spans, "h bigint, doc_id bigint, print bigint, place int")
+        runs = rows.mapInArrow(partial(_spans, whole=whole), "h bigint, doc_id bigint, print bigint, place int, size tinyint")
         runs = scratch.table(runs, "runs")
         first = runs.groupBy("h").agg(
             F.min(F.struct("doc_id", "print", "place")).alias("first"), F.max(F.struct("doc_id", "print", "place")).alias("last")
@@ -133,10 +154,10 @@ def remove_repeated_spans(docs: DataFrame, doc: str = "doc_id", text: str = "tex
         first = scratch.table(first.where("first != last").select("h", "first"), "repeated")
         later = runs.join(first, "h").where(F.struct("doc_id", "print", "place") != F.col("first"))
         # A document's places are bounded by its text; equal rows give equal places.
-        gone = later.groupBy("doc_id", "print").agg(F.collect_set("place").alias("places"))
+        gone = later.groupBy("doc_id", "print").agg(F.collect_set(F.struct("place", "size")).alias("runs"))
         gone = settle(gone.withColumnsRenamed({"doc_id": "d", "print": "p"}))
     joined = rows.join(gone, (F.col("doc_id") == F.col("d")) & (F.col("print") == F.col("p")), "left")
-    return joined.select("doc_id", "text", "places").mapInArrow(
+    return joined.select("doc_id", "text", "runs").mapInArrow(
         _cut, "doc_id bigint, n_sentences bigint, n_removed bigint, text string"
     )
 

@@ -114,6 +114,22 @@ def test_repeated_spans_of_odd_rows(odd_docs):
     assert want[4][1] == 0 and want[5][2] == ""
 
 
+def test_repeated_spans_of_short_sentences(spark):
+    """A passage of 60 words in sentences of one and four words goes whole, its last short ones too."""
+    passage = " ".join(f"Yes{i}! We saw p{i} there." for i in range(12))
+    listed = "\n".join(f"item{i}" for i in range(60))
+    ends = "This sentence alone has as many words as a run must hold. One. Two more."
+    data = [(1, f"Before it all. {passage} After it all."), (2, passage), (3, f"Something else here. {passage} The end of it."),
+            (4, listed), (5, f"Title\n{listed}\nFoot"), (6, f"Quite another start. {ends} Here it ends."), (7, f"New. {ends} Other words come."),
+            (8, "One. Two more."), (9, "One. Two more.")]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    out = sentence_spans.remove_repeated_spans(docs, whole=True).collect()
+    left = {r.doc_id: r.text.split() for r in out}
+    assert [left[i] for i in (1, 4, 6, 8, 9)] == [dict(data)[i].split() for i in (1, 4, 6, 8, 9)]
+    assert left[2] == [] and left[3] == "Something else here. The end of it.".split()
+    assert left[5] == ["Title", "Foot"] and left[7] == "New. Other words come.".split()
+
+
 @pytest.mark.parametrize("run", [
     lambda d: near_text.near_duplicates(d),
     lambda d: sentence_spans.remove_repeated_spans(d),
