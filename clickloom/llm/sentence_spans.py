@@ -20,17 +20,35 @@ from clickloom.llm.shingles import U, mix, spans, text_bytes, word_table
 
 #: Sentences to a run, words to a run at least, words to a sentence at most.
 RUN, LEAST_WORDS, MOST_WORDS = 2, 10, 25
+#: Cuts by content begin at the word with the least hash of every so many (a power of two).
+WINDOW = 8
 _STOP = np.zeros(256, bool)
 _STOP[[ord("."), ord("!"), ord("?")]] = True
 FACTOR = U(0xD6E8FEB86659FD93)
 _FACTOR_INVERSE = U(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 
 
-def sentences(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _least_of_windows(hashes: np.ndarray, part: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Places of the least hash (the last of equal ones) of every WINDOW words within a chosen part."""
+    n = len(hashes) - WINDOW + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    at, width = np.arange(len(hashes)), 1
+    while width < WINDOW:
+        left, right = at[:-width], at[width:]
+        at = np.where(hashes[right] <= hashes[left], right, left)
+        width *= 2
+    return at[chosen[:n] & (part[:n] == part[WINDOW - 1 :])]
+
+
+def sentences(column: pa.Array, whole: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Of ranges of texts: (first, last, text number, first byte, words, hash) per sentence.
 
     A sentence ends after a word that ends in a full stop, exclamation or question mark,
-    at a line's end, or at MOST_WORDS words. The first byte counts from the text's start.
+    at a line's end, or at MOST_WORDS words. If ``whole``, one of more than MOST_WORDS words
+    is cut by content instead, before the word with the least hash of every WINDOW words,
+    so what two of them share is cut alike wherever it lies, but for less than WINDOW words
+    at each end. The first byte counts from the text's start.
     """
     data, offsets = text_bytes(column)
     for first, last in spans(offsets):
@@ -43,7 +61,11 @@ def sentences(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarr
         line = lines[begin - begin[0]]
         opens[1:] = _STOP[data[end[:-1] - 1]] | (line[1:] != line[:-1]) | (text[1:] != text[:-1])
         place = np.arange(n)
-        opens |= (place - np.maximum.accumulate(np.where(opens, place, 0))) % MOST_WORDS == 0
+        if whole:
+            part = np.cumsum(opens) - 1
+            opens[_least_of_windows(hashes, part, np.bincount(part)[part] > MOST_WORDS)] = True
+        else:
+            opens |= (place - np.maximum.accumulate(np.where(opens, place, 0))) % MOST_WORDS == 0
         start = np.flatnonzero(opens)
         count = np.diff(np.r_[start, n])
         up = np.cumprod(np.r_[U(1), np.full(n, FACTOR, U)], dtype=U)
@@ -82,7 +104,7 @@ def _runs(
 def _spans(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, prints = (batch.column(c).to_numpy() for c in (0, 1))
-        for first, last, text, _, count, value in sentences(batch.column(2)):
+        for first, last, text, _, count, value in sentences(batch.column(2), whole):
             at, size, hashes = _runs(text, count, value, whole)
             sentence = at - np.searchsorted(text, text[at])
             doc = first + text[at]
@@ -95,7 +117,7 @@ def _spans(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.Record
             )
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
     """Texts without the sentences of the given runs (place, size)."""
     for batch in batches:
         data, offsets = text_bytes(batch.column(1))
@@ -103,7 +125,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         removed = np.zeros(batch.num_rows, np.int64)
         kept = [bytes(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         gone = batch.column(2)
-        for first, last, text, begin, _, _ in sentences(batch.column(1)):
+        for first, last, text, begin, _, _ in sentences(batch.column(1), whole):
             edges = np.searchsorted(text, np.arange(last - first + 1))
             total[first:last] = np.diff(edges)
             for i in range(first, last):
@@ -134,6 +156,9 @@ def remove_repeated_spans(docs: DataFrame, doc: str = "doc_id", text: str = "tex
 
     ``whole`` removes repeated passages of short sentences too, all of whose pairs have fewer
     than LEAST_WORDS words: runs go on over further sentences until they hold enough words.
+    It cuts sentences of more than MOST_WORDS words by content, so repeated passages without
+    full stops go wherever they begin. A repeated passage may keep at each end a part of a
+    sentence: less than WINDOW words of one cut in both places, at most MOST_WORDS of others.
 
     The first of equal runs is the one in the smallest doc_id, there the earliest; all
     others go, within one text too. White space between words does not tell runs apart.
@@ -158,6 +183,6 @@ def remove_repeated_spans(docs: DataFrame, doc: str = "doc_id", text: str = "tex
         gone = settle(gone.withColumnsRenamed({"doc_id": "d", "print": "p"}))
     joined = rows.join(gone, (F.col("doc_id") == F.col("d")) & (F.col("print") == F.col("p")), "left")
     return joined.select("doc_id", "text", "runs").mapInArrow(
-        _cut, "doc_id bigint, n_sentences bigint, n_removed bigint, text string"
+        partial(_cut, whole=whole), "doc_id bigint, n_sentences bigint, n_removed bigint, text string"
     )
 

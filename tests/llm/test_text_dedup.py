@@ -2,6 +2,7 @@
 
 import re
 
+import pyarrow as pa
 import pytest
 from conftest import rows
 
@@ -130,6 +131,46 @@ def test_repeated_spans_of_short_sentences(spark):
     assert left[5] == ["Title", "Foot"] and left[7] == "New. Other words come.".split()
 
 
+def test_repeated_spans_without_full_stops(spark):
+    """A passage of 60 words and no full stop, at several places of longer sentences and as a text."""
+    passage = [f"word{i}" for i in range(60)]
+    new = lambda k, n: [f"new{k}x{i}" for i in range(n)]
+    data = [(1, new(1, 7) + passage + new(2, 30)), (2, new(3, 20) + passage + new(4, 3)), (3, passage), (4, new(5, 90))]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in data], "doc_id bigint, text string")
+    left = {r.doc_id: r.text.split() for r in sentence_spans.remove_repeated_spans(docs, whole=True).collect()}
+    assert left[1] == data[0][1] and left[4] == data[3][1]
+    edge = sentence_spans.WINDOW - 1
+    for i in (2, 3):
+        assert not set(passage[edge:-edge]) & set(left[i]), left[i]
+        assert [w for w in left[i] if w.startswith("new")] == [w for w in data[i - 1][1] if w.startswith("new")]
+
+
+def _cut_passages(data):
+    """Sentences of a run of two or more with ten words or more that occurred before, all run lengths tried."""
+    units = {}
+    for i, t in sorted(data):
+        b = t.encode()
+        at = [begin.tolist() for _, _, _, begin, _, _ in sentence_spans.sentences(pa.array([t]), whole=True)]
+        at = [*(at[0] if at else []), len(b)]
+        units[i] = b, at, [tuple(WORD.findall(b[x:y].decode())) for x, y in zip(at[:-1], at[1:], strict=True)]
+    first, out = {}, {}
+    runs = lambda u: ((k, n) for k in range(len(u)) for n in range(2, min(12, len(u) - k) + 1) if sum(map(len, u[k : k + n])) >= 10)
+    for i, (_, _, u) in units.items():
+        for k, n in runs(u):
+            first.setdefault(tuple(u[k : k + n]), (i, k))
+    for i, (b, at, u) in units.items():
+        gone = {j for k, n in runs(u) if first[tuple(u[k : k + n])] != (i, k) for j in range(k, k + n)}
+        left = b[: at[0]] + b"".join(b[at[j] : at[j + 1]] for j in range(len(u)) if j not in gone)
+        out[i] = (len(u), len(gone), left.decode())
+    return out
+
+
+def test_repeated_passages(spark, sf_dir):
+    docs = _texts(spark, sf_dir)
+    got = sentence_spans.remove_repeated_spans(docs, whole=True).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in got} == _cut_passages([tuple(r) for r in docs.collect()])
+
+
 @pytest.mark.parametrize("run", [
     lambda d: near_text.near_duplicates(d),
     lambda d: sentence_spans.remove_repeated_spans(d),
