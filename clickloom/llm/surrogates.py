@@ -6,6 +6,11 @@ one entity has one surrogate in all documents and spellings. All distinct entiti
 corpus are then checked together: where two drew the same surrogate, or one drew
 something that is itself an entity, all but the smallest draw again, until none is left.
 Documents compute plain draws themselves; only second and later draws are joined to them.
+
+Names are found after a title, and from there at every other place of the same document
+that has them as a capitalised word. A document that never has a name after a title keeps
+it, as do inflected forms. A given name has the gender of its titles in all of the corpus,
+none where they differ; a document that shows another is told the gender of the corpus.
 """
 
 from __future__ import annotations
@@ -47,12 +52,23 @@ SYLLABLES = {
 }
 ENDING = {"latin": "er", "cyrillic": "ин"}
 
+#: Capitalised words that follow a title by chance; they are replaced there and nowhere else.
+NO_NAMES = frozenset(
+    "a an and are as at but by can could did do does for from had has have he her here his how i if in is it its may my"
+    " no not of on or our she so some that the their then there these they this to us was we were what when where which"
+    " who why will with would yes you your".split()
+)
+#: A gender by the bits of the titles seen: none, male, female, both.
+GENDERS = "nmfb"
+
 _GENDER = {t.lower(): g for g, titles in TITLES.items() for t in titles}
 _WORD = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
 _NAME = re.compile(
-    r"(?<!\w)(" + "|".join(sorted(_GENDER, key=len, reverse=True)) + r")(\.?[ \t]+)(" + _WORD + r")(?:([ \t]+)(" + _WORD + r"))?",
+    r"(?<!\w)(" + "|".join(sorted(_GENDER, key=len, reverse=True)) + r")(\.?[ \t]+(?:(?:Dr|Prof|Professor)\.?[ \t]+)*)(" + _WORD + r")(?:([ \t]+)(" + _WORD + r"))?",
     re.IGNORECASE,
 )
+_OWNED = re.compile(r"['’][sS]$")
+_ABBREVIATED = frozenset("mr mrs ms sr sra mme dr prof".split())
 _EMAIL = re.compile(r"(?<![\w.%+-])([A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*)@([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})")
 _KEY = re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])")
 _SECRET = re.compile(r"(?i)(?<![a-z])(?:password|passwd|pwd|secret|token|api[_-]?key)[ \t]*[=:][ \t]*[\"']?([^\s\"']{6,})")
@@ -73,7 +89,10 @@ def _script(text: str) -> str:
 
 
 def find(text: str) -> list[tuple[int, int, str, str]]:
-    """Entities of a text: (start, end, kind, canonical), in order, none overlapping."""
+    """Entities of a text: (start, end, kind, canonical), in order, none overlapping.
+
+    The kind of a given name has the gender its titles in this text show.
+    """
     found: list[tuple[int, int, str, str]] = []
     if "@" in text:
         for m in _EMAIL.finditer(text):
@@ -89,16 +108,7 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         found += [(m.start(), m.end(), "card", _digits(m[0])) for m in _CARD.finditer(text)]
     if "=" in text or ":" in text:
         found += [(m.start(1), m.end(1), "secret", m[1]) for m in _SECRET.finditer(text)]
-    for m in _NAME.finditer(text):
-        gender, script = _GENDER[m[1].lower()], _script(m[3])
-        # A title and a lower-case word is no name.
-        if not m[3][0].isupper():
-            continue
-        if m[5] and m[5][0].isupper():
-            found.append((m.start(3), m.end(3), f"given {gender} {script}", m[3].lower()))
-            found.append((m.start(5), m.end(5), f"family {_script(m[5])}", m[5].lower()))
-        else:
-            found.append((m.start(3), m.end(3), f"family {script}", m[3].lower()))
+    found += _names(text)
     # The earliest, then the longest, then the first named kind wins an overlap.
     out: list[tuple[int, int, str, str]] = []
     for one in sorted(found, key=lambda e: (e[0], -e[1])):
@@ -107,6 +117,50 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     return out
 
 
+def _names(text: str) -> list[tuple[int, int, str, str]]:
+    """Names after a title, and their other mentions."""
+    found: list[tuple[int, int, str, str]] = []
+    kinds: dict[str, str] = {}
+    bits: dict[str, int] = {}
+    for m in _NAME.finditer(text):
+        # A title and a lower-case word is no name.
+        if not m[3][0].isupper():
+            continue
+        both = bool(m[5]) and m[5][0].isupper()
+        # A full stop after a title written out ends a sentence; what follows may be any word.
+        title = (m[1] + m[2]).split()[-1]
+        sure = title[-1] != "." or title[:-1].lower() in _ABBREVIATED
+        for group, kind in ((3, "given" if both else "family"), (5, "family"))[: 1 + both]:
+            word = _OWNED.sub("", m[group])
+            kind, form = f"{kind} {_script(word)}", word.lower()
+            found.append((m.start(group), m.start(group) + len(word), kind, form))
+            if kind.startswith("given"):
+                bits[form] = bits.get(form, 0) | GENDERS.index(_GENDER[m[1].lower()])
+            if sure and form not in NO_NAMES and form not in _GENDER:
+                kinds.setdefault(form, kind)
+    if kinds:
+        at = {e[0] for e in found}
+        mention = r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(kinds, key=len, reverse=True))) + r")(?!\w)"
+        for m in re.finditer(mention, text, re.IGNORECASE):
+            form = m[0].lower()
+            if m.start() not in at and m[0][0].isupper() and form in kinds:
+                found.append((m.start(), m.end(), kinds[form], form))
+    return [(a, b, _shown(kind, bits.get(form, 0)), form) for a, b, kind, form in found]
+
+
+def _shown(kind: str, gender: int) -> str:
+    """The kind of a given name with its gender; other kinds as they are."""
+    return kind.replace("given ", f"given {GENDERS[gender]} ", 1) if kind.startswith("given ") else kind
+
+
+def _apart(kind: str) -> tuple[str, int]:
+    """The kind without a gender, and the gender."""
+    if not kind.startswith("given "):
+        return kind, 0
+    _, gender, script = kind.split(" ")
+    return f"given {script}", GENDERS.index(gender)
+
+
 class _Draw:
     """An endless stream of choices from a keyed hash."""
 
@@ -195,7 +249,7 @@ def draw(kind: str, canonical: str, attempt: int, key: bytes) -> str:
         number = "".join(str(int(c, 36)) for c in body + canonical[:2] + "00")
         return canonical[:2] + f"{98 - int(number) % 97:02d}" + body
     if kind[0] == "given":
-        names = GIVEN[kind[2], kind[1]]
+        names = GIVEN[kind[2], "n" if kind[1] == "b" else kind[1]]
         first = d.pick(names)
         return first if attempt < 3 else first + "-" + "".join(d.pick(SYLLABLES[kind[2]]) for _ in range(1 + attempt // 6))
     if kind[0] == "family":
@@ -234,31 +288,35 @@ def replace_entities(
 
     def entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, kinds, forms = [], [], []
+            ids, kinds, forms, genders = [], [], [], []
             for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 for kind, form in {e[2:] for e in find(value.as_py() or "")}:
+                    kind, gender = _apart(kind)
                     ids.append(doc_id)
                     kinds.append(kind)
                     forms.append(form)
+                    genders.append(gender)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, batch.column(0).type), pa.array(kinds, pa.string()), pa.array(forms, pa.string())],
-                ["d", "kind", "canonical"],
+                [
+                    pa.array(ids, batch.column(0).type), pa.array(kinds, pa.string()),
+                    pa.array(forms, pa.string()), pa.array(genders, pa.int32()),
+                ],
+                ["d", "kind", "canonical", "shown"],
             )
 
     id_type = docs.schema[doc].dataType.simpleString()
     with Scratch(docs.sparkSession) as scratch:
         held = scratch.table(
             docs.select(F.col(doc).alias("d"), F.col(text).cast("string").alias("t")).mapInArrow(
-                entities, f"d {id_type}, " + ENTITY
+                entities, f"d {id_type}, {ENTITY}, shown int"
             ),
             "held",
         )
-        everything = held.select("kind", "canonical").distinct().withColumn("attempt", F.lit(0))
+        everything = held.groupBy("kind", "canonical").agg(F.bit_or("shown").alias("gender")).withColumn("attempt", F.lit(0))
         again = scratch.table(_settle_collisions(scratch, everything, key), "again")
-        # What a document needs beyond first draws: few rows, unless ranges are crowded.
-        needed = held.join(again, ["kind", "canonical"]).distinct().groupBy("d").agg(
-            F.collect_list(F.struct("kind", "canonical", "attempt")).alias("_again")
-        )
+        # What a document needs beyond first draws and genders it shows: few rows, unless ranges are crowded.
+        needed = held.join(again, ["kind", "canonical"]).where("attempt > 0 OR gender != shown").drop("shown").distinct()
+        needed = needed.groupBy("d").agg(F.collect_list(F.struct("kind", "canonical", "gender", "attempt")).alias("_again"))
         needed = settle(needed)
     size = needed.agg(F.sum(F.size("_again"))).first()[0] or 0
     id_, again_ = spare(docs, "_doc"), spare(docs, "_again")
@@ -273,11 +331,13 @@ def replace_entities(
             column = batch.column(place)
             for value, extra in zip(column, batch.column(batch.num_columns - 1), strict=True):
                 value = value.as_py()
-                attempts = {(e["kind"], e["canonical"]): e["attempt"] for e in extra.as_py() or ()}
+                told = {(e["kind"], e["canonical"]): (e["gender"], e["attempt"]) for e in extra.as_py() or ()}
                 spans = find(value) if value else []
                 parts, at = [], 0
                 for start, end, kind, form in spans:
-                    new = draw(kind, form, attempts.get((kind, form), 0), key)
+                    plain, shown = _apart(kind)
+                    gender, attempt = told.get((plain, form), (shown, 0))
+                    new = draw(_shown(plain, gender), form, attempt, key)
                     parts += [value[at:start], pour(new, kind, value[start:end])]
                     at = end
                 texts.append("".join([*parts, value[at:]]) if spans else value)
@@ -290,21 +350,21 @@ def replace_entities(
 
 
 def _settle_collisions(scratch: Scratch, everything: DataFrame, key: bytes) -> DataFrame:
-    """Entities (kind, canonical, attempt) that need a later draw than the first."""
+    """Entities (kind, canonical, gender, attempt) that have a gender or need a later draw than the first."""
 
     def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*[batch.column(c).to_pylist() for c in range(3)], strict=True)
+            rows = zip(*[batch.column(c).to_pylist() for c in range(4)], strict=True)
+            new = [draw(_shown(kind, gender), form, attempt, key) for kind, form, gender, attempt in rows]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([draw(*row, key) for row in rows], pa.string())],
-                ["kind", "canonical", "attempt", "surrogate"],
+                [*batch.columns, pa.array(new, pa.string())], ["kind", "canonical", "gender", "attempt", "surrogate"]
             )
 
-    shape = ENTITY + ", attempt int, surrogate string"
+    shape = ENTITY + ", gender int, attempt int, surrogate string"
     now = scratch.table(everything.mapInArrow(drawn, shape), "draws")
     real = now.select(F.col("kind").alias("k"), F.col("canonical").alias("c"))
     for _ in range(ROUNDS):
-        # Kinds that name a gender or domain keep apart what may coincide; families share theirs.
+        # Kinds that name a domain or script keep apart what may coincide; families share theirs.
         first = now.groupBy("kind", "surrogate").agg(
             F.min(F.struct("attempt", "canonical")).alias("first"), F.count(F.lit(1)).alias("n")
         ).where("n > 1").select(F.col("kind").alias("k"), F.col("surrogate").alias("s"), F.col("first.canonical").alias("winner"))
@@ -318,11 +378,11 @@ def _settle_collisions(scratch: Scratch, everything: DataFrame, key: bytes) -> D
         lost = now.join(losers, ["kind", "canonical"]).withColumn("attempt", F.col("attempt") + 1)
         kept = now.join(losers, ["kind", "canonical"], "left_anti")
         now = scratch.table(
-            kept.select("kind", "canonical", "attempt", "surrogate").unionByName(
-                lost.select("kind", "canonical", "attempt").mapInArrow(drawn, shape)
+            kept.select("kind", "canonical", "gender", "attempt", "surrogate").unionByName(
+                lost.select("kind", "canonical", "gender", "attempt").mapInArrow(drawn, shape)
             ),
             "draws",
         )
     else:
         raise RuntimeError(f"no distinct surrogates after {ROUNDS} rounds")
-    return now.where("attempt > 0").select("kind", "canonical", "attempt")
+    return now.where("attempt > 0 OR gender > 0").select("kind", "canonical", "gender", "attempt")

@@ -207,6 +207,30 @@ def test_surrogates_of_a_crowded_range(spark):
     assert len({r.text.split()[2] for r in out}) == 1
 
 
+def test_surrogates_of_later_mentions(spark):
+    """Names found after a title go everywhere in their document, with one gender in all of the corpus."""
+    texts = [
+        "Weber waited. Dr. Anna Weber called. Weber said Anna's key is WEBER's, no weberian webs.",
+        "Frau Anna Weber came with Prof. Dr. Kim Maurer. Maurer left.",
+        "Herr Toni Brand and Frau Toni Brand", "Dr. Toni Brand", "Mr Toni Brand's car",
+        "Weber and Anna have no title here. Yes, Sir. The man and The Hague, Dr. The said.",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    out = surrogates.replace_entities(docs, b"k").orderBy("doc_id").collect()
+    text = [r.text for r in out]
+    anna, weber = text[1].split()[1:3]
+    assert {anna, weber}.isdisjoint({"Anna", "Weber"}) and anna.lower() in surrogates.GIVEN["latin", "f"]
+    assert text[0] == f"{weber} waited. Dr. {anna} {weber} called. {weber} said {anna}'s key is {weber.upper()}'s, no weberian webs."
+    assert text[1].startswith(f"Frau {anna} {weber} came with Prof. Dr. ") and "Maurer" not in text[1]
+    kim, maurer = text[1].split()[7:9]
+    assert kim != "Kim" and text[1].endswith(f" {maurer} {maurer.rstrip('.')} left.")
+    toni, brand = text[3].split()[1:]
+    assert text[2] == f"Herr {toni} {brand} and Frau {toni} {brand}" and text[4] == f"Mr {toni} {brand}'s car"
+    assert toni.lower() in surrogates.GIVEN["latin", "n"] and toni != "Toni"
+    assert text[5].startswith("Weber and Anna have") and " The Hague" in text[5]
+    assert [r.n_entities for r in out] == [6, 5, 4, 2, 2, 2]
+
+
 def test_surrogates_of_odd_rows(odd_docs):
     out = surrogates.replace_entities(odd_docs, b"k")
     assert out.columns == [*odd_docs.columns, "n_entities"]
