@@ -232,7 +232,11 @@ def draw(kind: str, canonical: str, attempt: int, key: bytes) -> str:
         return body + last
     if kind[0] == "ip":
         old = canonical.split(".")
-        private = 1 if old[0] in ("10", "127") else 2 if old[:2] == ["192", "168"] or (old[0] == "172" and 16 <= int(old[1]) < 32) else 0
+        narrow = old[:2] == ["192", "168"] or (old[0] == "172" and 16 <= int(old[1]) < 32)
+        if narrow and attempt > SAME_LENGTH:
+            # A private block of 65,025 draws can be all taken; the one of 10 has 16 million.
+            old, narrow = ["10", *old[1:]], False
+        private = 1 if old[0] in ("10", "127") else 2 if narrow else 0
         # Beyond the draws of the same length any octet will do.
         range_of = {1: (1, 10), 2: (10, 100), 3: (100, 256)}
         new = []

@@ -231,6 +231,17 @@ def test_surrogates_of_later_mentions(spark):
     assert [r.n_entities for r in out] == [6, 5, 4, 2, 2, 2]
 
 
+def test_surrogates_of_a_full_private_block():
+    """All of 192.168 in a corpus leaves no surrogate there: later draws move to the block of 10."""
+    block = [f"192.168.{i}.{j}" for i in range(1, 256) for j in range(1, 256, 5)]
+    late = surrogates.SAME_LENGTH + 1
+    drawn = [surrogates.draw("ip", a, late, b"k") for a in [*block, "172.16.3.4"]]
+    assert all(a.startswith("10.") and len(a.split(".")) == 4 for a in drawn)
+    assert len(set(drawn)) > 0.99 * len(drawn)
+    early = surrogates.draw("ip", block[0], 0, b"k")
+    assert early.startswith("192.168.") and surrogates.draw("ip", "172.16.3.4", 0, b"k").startswith("172.16.")
+
+
 def test_surrogates_of_odd_rows(odd_docs):
     out = surrogates.replace_entities(odd_docs, b"k")
     assert out.columns == [*odd_docs.columns, "n_entities"]
