@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm import mixing, near_text, sentencepiece_ids, surrogates, toxicity
@@ -30,10 +30,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group; rows without an id stay."""
-    found = near_text.near_duplicates(docs.select("doc_id", "text"), words=WORDS, percent=PERCENT)
-    extra = found.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
+    """The document with the smallest id of each group; rows without an id stay.
+
+    Rows that repeat an id are documents of their own where their texts differ, and one
+    where they are equal: the first by its other columns stays.
+    """
+    if docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").isEmpty():
+        found = near_text.near_duplicates(docs.select("doc_id", "text"), words=WORDS, percent=PERCENT)
+        extra = found.where(~F.col("kept")).select("doc_id").distinct()
+        return docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
+    print_, number, rank = (spare(docs, name) for name in ("_print", "_number", "_rank"))
+    rows = docs.where(F.col("doc_id").isNotNull()).withColumn(print_, F.xxhash64("text"))
+    with Scratch(spark) as scratch:
+        # Numbers of the distinct (id, text), in their order.
+        numbers = rows.select("doc_id", print_).distinct().orderBy("doc_id", print_)
+        numbers = scratch.table(numbers.withColumn(number, F.monotonically_increasing_id()), "numbers")
+        rows = scratch.table(rows.join(numbers, ["doc_id", print_]).drop(print_), "numbered")
+        found = near_text.near_duplicates(rows.select(number, "text"), words=WORDS, percent=PERCENT, doc=number)
+        kept = rows.join(found.where("kept").select(F.col("doc_id").alias(number)).distinct(), number)
+        others = [c for c in docs.columns if c not in ("doc_id", "text")]
+        first = F.row_number().over(Window.partitionBy(number).orderBy(*(others or [F.lit(0)])))
+        kept = settle(kept.withColumn(rank, first).where(F.col(rank) == 1).select(*docs.columns))
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,6 +75,19 @@ def test_pipeline(spark, sf_dir, tmp_path):
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, after.collect()))
 
 
+def test_near_duplicates_of_repeated_ids(spark, sf_dir):
+    """Rows of one id go by their own texts; equal rows are one document."""
+    text = lambda name: " ".join(f"{name}{i}" for i in range(40))
+    data = [(3, text("a")), (5, text("a")), (5, text("b")), (6, text("c") + " more"), (8, text("c")), (8, text("d")),
+            (8, text("d")), (9, text("d") + " more"), (9, text("e")), (None, text("a")), (None, text("a"))]
+    docs = spark.createDataFrame([(i, t, "web", 1) for i, t in data], "doc_id bigint, text string, source string, n_chars int")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir)
+    assert out.columns == docs.columns
+    got = sorted((r.doc_id or 0, r.text) for r in out.collect())
+    want = [(0, "a"), (0, "a"), (3, "a"), (5, "b"), (6, "c"), (8, "d"), (9, "e")]
+    assert [(i, t[0]) for i, t in got] == want
+
+
 def test_pipeline_of_an_empty_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < -1")
     for _, stage in corpus_pipeline.STAGES:
