@@ -1,7 +1,6 @@
-"""Substring dedup by suffix order: bytes that repeat an earlier document's bytes go.
+"""Substring dedup by equal windows: bytes that repeat an earlier document's bytes go.
 
-Only suffixes that can share their first LENGTH bytes must meet, so nothing is sorted as
-a whole. A window (LENGTH bytes) is known by the least hash of its GRAM-byte grams; a
+Only windows that can be equal must meet, so nothing is sorted as a whole. A window (LENGTH bytes) is known by the least hash of its GRAM-byte grams; a
 maximal run of windows with the same least hash is one piece, so most pieces hold many
 windows. The work, over chunks of whole documents:
 
@@ -10,9 +9,9 @@ windows. The work, over chunks of whole documents:
    rule most of it, is done with.
 2. Every chunk gives out its distinct pieces with such hashes, each with the smallest
    document id that holds it in the chunk.
-3. Per deal the windows of all pieces are brought into suffix order. Between neighbours
-   that share LENGTH bytes the longest previous factor is at least LENGTH, where a previous
-   or next smaller document id stands in the same stretch; that id is told back.
+3. Per deal the windows of all pieces are sorted by their bytes. Equal windows stand
+   together, and the smallest document id among them is told back. Longest previous
+   factors are not computed: that they reach LENGTH is all that would be asked of them.
 4. Every chunk marks the windows that a smaller document id holds, and cuts their bytes.
 
 A hash that comes from very many chunks (the edge of a passage that a third of all
@@ -293,8 +292,8 @@ EMPTY_FOUND = pa.schema([("chunk", pa.int64()), ("number", pa.binary()), ("runs"
 def _previous(data: np.ndarray, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Of windows at ``at``: the smallest document among those with the same bytes.
 
-    Windows are sorted by their bytes, eight at a time, which is suffix order; stretches
-    of neighbours that share LENGTH bytes hold the previous and the next smaller document.
+    Windows are sorted by their bytes, eight at a time; each stretch of equal ones takes
+    its least document.
     """
     padded = np.r_[data, np.zeros(8, np.uint8)]
     word = np.zeros(len(data), U)
