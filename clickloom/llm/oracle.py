@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+_WORD = r"[^\x20\x09-\x0D]+"
 _SPLIT = r"([<\[])(/?s>|\|turn\|>|\|end\|>|/?INST\]|</?SYS>>)"
 
 
@@ -83,4 +84,47 @@ ORACLE: dict[str, str] = {
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM scores QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
     """,
+    "op13_conversation_trie": f"""
+        WITH crc AS (
+            -- Bit by bit: a byte goes in at the first of its eight steps.
+            SELECT conv_id, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(
+                string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [CAST(unicode(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+                lambda c, x: xor(xor(c, x) >> 1, (xor(c, x) & 1) * 3988292384))) AS h
+            FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
+        ),
+        own AS (
+            SELECT conv_id, list({{'r': r, 't': t}} ORDER BY turn NULLS FIRST, r, t) AS turns
+            FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations)
+            WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ),
+        rebuilt AS (
+            SELECT o.conv_id, list_concat(coalesce(b.turns[1 : h % 4], []), coalesce(o.turns[h % 4 + 1 :], [])) AS turns
+            FROM own o JOIN crc USING (conv_id) LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20
+        ),
+        prefixes AS (
+            SELECT conv_id, len(turns) AS n, unnest(range(0, len(turns) + 1)) AS depth, turns FROM rebuilt
+        ),
+        members AS (SELECT conv_id, n, depth, turns[1 : depth] AS prefix FROM prefixes),
+        nodes AS (
+            SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '') AS ends,
+                   CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(prefix[depth].t, '{_WORD}')) END AS words
+            FROM members GROUP BY prefix, depth
+        ),
+        children AS (SELECT prefix[1 : depth - 1] AS prefix, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+        full_ AS (
+            SELECT nodes.*, coalesce(c.n, 0) AS n_children FROM nodes LEFT JOIN children c USING (prefix)
+        ),
+        up AS (
+            SELECT prefix, n_convs, words, n_children, unnest(range(0, depth + 1)) AS above FROM full_
+        ),
+        below AS (
+            SELECT prefix[1 : above] AS prefix, count(*) FILTER (n_children = 0) AS n_leaves,
+                   CAST(sum((n_convs - 1) * words) AS BIGINT) AS saved_tokens FROM up GROUP BY 1
+        )
+        SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, b.n_leaves,
+               b.saved_tokens, sha256(f.ends) AS ends_sha256
+        FROM full_ f JOIN below b ON b.prefix = f.prefix
+        LEFT JOIN full_ p ON f.depth > 0 AND p.prefix = f.prefix[1 : f.depth - 1]
+    """,
 }

@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
+    bpe_automaton,
     chat_format,
+    conversation_trie,
     mixing,
     near_text,
     near_vectors,
+    periodic_runs,
     repeats,
     sentence_spans,
     sentencepiece_ids,
@@ -19,7 +22,7 @@ from clickloom.llm import (
     top_k,
     toxicity,
 )
-from clickloom.llm.common import Scratch, settle
+from clickloom.llm.common import WORD, Scratch, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -119,6 +122,63 @@ def op9_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return top_k.top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_bpe_automaton(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    both = bpe_automaton.encode_and_decode(docs, bpe_automaton.load())
+    return both.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def plant_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) where a tenth of the texts, by a hash of the id, go on periodically from some word."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    words = docs.withColumn("_h", h).withColumn(
+        "_words", F.when(F.col("_h") % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})")))
+    )
+    n = F.nullif(F.size("_words"), F.lit(0))
+    words = words.withColumn("_a", (g % n).cast("int")).withColumn(
+        "_p", (1 + F.floor((n - F.col("_a")) / (3 + g % 8))).cast("int")
+    )
+    a, p = F.col("_a"), F.col("_p")
+    times = F.ceil((n - a) / p).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("_words", a + 1, p), times))
+    planted = F.array_join(F.slice(F.concat(F.slice("_words", F.lit(1), a), tail), F.lit(1), n), " ")
+    return words.select("doc_id", F.when(n > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    docs = plant_runs(_table(spark, sf, "documents").select("doc_id", "text"))
+    found = periodic_runs.periodic_runs(docs).select("doc_id", "runs", "collapsed")
+    # The greatest length, then the smallest start and period: the least of what sorts so.
+    ranked = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumn("_best", ranked)
+    length, period = -F.col("_best.l"), F.col("_best.p")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("_best.s").alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.expr("(-_best.l * 1000) div _best.p").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_conversation_trie(spark: SparkSession, sf: str) -> DataFrame:
+    found = conversation_trie.sequences(_table(spark, sf, "conversations"))
+    conv = F.col("conv_id")
+    openings = found.where(conv % 20 == 0).select("conv_id", F.slice("turns", 1, 3).alias("turns"))
+    shared = conversation_trie.share_openings(found, openings, conv - conv % 20, F.crc32(conv.cast("string")) % 4)
+    return conversation_trie.prefix_trie(shared)
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op2_mixing": op2_mixing,
@@ -130,4 +190,7 @@ QUERIES: dict[str, Query] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_top_k": op9_top_k,
     "op10_surrogates": op10_surrogates,
+    "op11_bpe_automaton": op11_bpe_automaton,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_conversation_trie": op13_conversation_trie,
 }
