@@ -58,3 +58,8 @@ def single_valued(params: Column, keys: Iterable[str], value: Column) -> Column:
 def all_of(conditions: Iterable[Column]) -> Column:
     """AND of the given conditions."""
     return reduce(lambda a, b: a & b, conditions)
+
+
+def any_of(conditions: Iterable[Column]) -> Column:
+    """OR of the given conditions."""
+    return reduce(lambda a, b: a | b, conditions)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.operators.rows import spare
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Column, tie: Sequence[str] | None = None) -> DataFrame:
     """The first row of each key group by ``order``; NULL keys are equal to each other.
@@ -18,4 +20,5 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Column, tie: Seque
     """
     tie = [c for c in df.columns if c not in set(keys)] if tie is None else tie
     window = Window.partitionBy(*keys).orderBy(order, *[F.asc_nulls_first(c) for c in tie])
-    return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") == 1).drop("_rank")
+    rank = spare("_rank", df)
+    return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) == 1).drop(rank)

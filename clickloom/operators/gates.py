@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.operators.rows import by_event, day, upto, upto_event_date, upto_utc
+from clickloom.sources.versions import partition_versions
 
 
 def count_having(df: DataFrame) -> DataFrame:
@@ -33,6 +34,14 @@ def has_partition(df: DataFrame, ds: str, exact_day: bool = False) -> bool:
     return not rows.isEmpty()
 
 
+def listed_days(spark: SparkSession, name: str, ds: str | None = None) -> list[str]:
+    """Days up to ``ds`` of which a table has data files, from its listing: no file is read.
+
+    Partitioned writes make a file only for rows, so such a day has rows.
+    """
+    return sorted(d for d in partition_versions(spark, name) if ds is None or d <= ds)
+
+
 def has_created(df: DataFrame, ds: str) -> bool:
     """Any row whose ``created_at`` falls on ``ds`` or earlier in UTC."""
     return not upto_utc(df, "created_at", ds).isEmpty()

@@ -11,8 +11,10 @@ Semantics (those of a MERGE with ``=`` on the keys and a condition on one column
 
 How it runs: one join of the source with the target's keys finds what changes (rows
 to insert, candidates for an update). That change set, usually about a day of data,
-is written to the shared folder. Only partitions with an updated row are rewritten;
-everything else is an append. Both sides of a join are brought to one row per key
+is written to the shared folder. Only partitions in which an update changes a value are
+rewritten; everything else is an append. Of the target only partitions are read that can
+hold a match: those of the source where the key names the partition, and those that a key
+index names where a table has one. Both sides of a join are brought to one row per key
 by a map-side-combined aggregation where they could repeat, so no step ever emits
 the pairs of a repeated key.
 """
@@ -25,8 +27,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.functions.params import all_of
-from clickloom.operators.rows import conform
+from clickloom.functions.params import all_of, any_of
+from clickloom.operators.keyindex import KeyIndex
+from clickloom.operators.rows import conform, spare
 from clickloom.operators.skew import spread_join
 from clickloom.sources import tables
 from clickloom.workspace import discard, fresh_dir, stage, stage_split
@@ -38,7 +41,9 @@ class MergeSpec:
 
     ``watch`` None means insert-only. ``unique_source`` promises at most one source
     row per key (NULLs equal), as after ``latest_per_key`` on the same keys; it
-    saves the look for NULL keys.
+    saves the look for NULL keys. ``indexed`` keeps the keys of a partitioned table in an
+    index beside it (see ``keyindex``), from which a merge tells what is new without the
+    table; what is watched must then be a partition column or nothing.
     """
 
     keys: tuple[str, ...]
@@ -47,6 +52,7 @@ class MergeSpec:
     unique_source: bool = False
     null_safe_keys: bool = False
     nan_never_matches: tuple[str, ...] = ()
+    indexed: bool = False
 
 
 def _match_keys(df: DataFrame, spec: MergeSpec) -> tuple[DataFrame, list[str]]:
@@ -55,7 +61,7 @@ def _match_keys(df: DataFrame, spec: MergeSpec) -> tuple[DataFrame, list[str]]:
         return df, list(spec.keys)
     names = []
     for key in spec.keys:
-        null_flag, value = f"_null_{key}", f"_value_{key}"
+        null_flag, value = spare(f"_null_{key}", df), spare(f"_value_{key}", df)
         df = df.withColumn(null_flag, F.col(key).isNull())
         # A stand-in for NULL of the right type; the flag keeps it apart from real values.
         kind = df.schema[key].dataType
@@ -83,23 +89,17 @@ def _unmatchable(spec: MergeSpec) -> Column:
     return test
 
 
-def changes(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
-    """Source rows that insert or may update, with ``_insert`` telling which.
+def changes(target: DataFrame, source: DataFrame, spec: MergeSpec, flag: str = "_insert") -> DataFrame:
+    """Source rows that insert or may update, with a column ``flag`` telling which.
 
-    A row with ``_insert`` false differs in the watched column from at least one
+    A row with ``flag`` false differs in the watched column from at least one
     target row of its key.
     """
     columns = source.columns
     plain_source, names = _match_keys(source, spec)
     target, _ = _match_keys(target, spec)
-
-    # One row per key: how often it occurs, and enough about the watched column to
-    # know whether any of its rows differs from a given value.
-    facts = [F.count(F.lit(1)).alias("_rows")]
-    if spec.watch:
-        seen = F.col(spec.watch)
-        facts += [F.count(seen).alias("_valued"), F.min(seen).alias("_low"), F.max(seen).alias("_high")]
-    present = target.where(~_unmatchable(spec)).groupBy(*names).agg(*facts)
+    facts = _Facts(spec, plain_source)
+    present = facts.of(target.where(~_unmatchable(spec)), names)
 
     if spec.unique_source:
         # One row per key, so no key is hot, and after latest_per_key the rows
@@ -109,27 +109,56 @@ def changes(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
     else:
         matchable = plain_source.where(~_unmatchable(spec))
         joined = spread_join(matchable, present, names, "left")
-        open_ended = spec.nan_never_matches or any(source.schema[k].nullable for k in spec.keys)
-        always = plain_source.where(_unmatchable(spec)) if open_ended else None
-
-    insert = F.col("_rows").isNull()
-    if spec.watch:
-        mine = F.col(spec.watch)
-        all_null = mine.isNull() & (F.col("_valued") == 0)
-        all_same = (F.col("_valued") == F.col("_rows")) & (F.col("_low") == mine) & (F.col("_high") == mine)
-        joined = joined.where(insert | ~(all_null | F.coalesce(all_same, F.lit(False))))
-    else:
-        joined = joined.where(insert)
-    result = joined.select(*columns, insert.alias("_insert"))
+        always = plain_source.where(_unmatchable(spec)) if _open_ended(source, spec) else None
+
+    result = joined.where(facts.differ).select(*columns, facts.new.alias(flag))
     if always is not None:
-        result = result.unionByName(always.select(*columns, F.lit(True).alias("_insert")))
+        result = result.unionByName(always.select(*columns, F.lit(True).alias(flag)))
     return result
 
 
+def _open_ended(source: DataFrame, spec: MergeSpec) -> bool:
+    """Whether some rows may match nothing by definition."""
+    return bool(spec.nan_never_matches) or any(source.schema[k].nullable for k in spec.keys)
+
+
+class _Facts:
+    """What is to be known of the target rows of a key: how often it occurs, and enough about
+    the watched column to know whether any of its rows differs from a given value."""
+
+    def __init__(self, spec: MergeSpec, source: DataFrame) -> None:
+        self.watch = spec.watch
+        self.rows, self.valued, self.low, self.high = (spare(n, source) for n in ("_rows", "_valued", "_low", "_high"))
+
+    def of(self, target: DataFrame, names: Sequence[str]) -> DataFrame:
+        """One row per key."""
+        facts = [F.count(F.lit(1)).alias(self.rows)]
+        if self.watch:
+            seen = F.col(self.watch)
+            facts += [F.count(seen).alias(self.valued), F.min(seen).alias(self.low), F.max(seen).alias(self.high)]
+        return target.groupBy(*names).agg(*facts)
+
+    @property
+    def new(self) -> Column:
+        """The key is not in the target."""
+        return F.col(self.rows).isNull()
+
+    @property
+    def differ(self) -> Column:
+        """The key is new, or some row of it has another watched value."""
+        if not self.watch:
+            return self.new
+        mine, valued = F.col(self.watch), F.col(self.valued)
+        all_null = mine.isNull() & (valued == 0)
+        all_same = (valued == F.col(self.rows)) & (F.col(self.low) == mine) & (F.col(self.high) == mine)
+        return self.new | ~(all_null | F.coalesce(all_same, F.lit(False)))
+
+
 def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], **options: object) -> DataFrame:
     """Source rows whose key is not in the target (NULL keys never are)."""
     spec = MergeSpec(keys=tuple(keys), **options)
-    return changes(target, source, spec).drop("_insert")
+    flag = spare("_insert", source)
+    return changes(target, source, spec, flag).drop(flag)
 
 
 def _updates(candidates: DataFrame, spec: MergeSpec) -> DataFrame:
@@ -151,36 +180,40 @@ def _updates(candidates: DataFrame, spec: MergeSpec) -> DataFrame:
     )
 
 
-def _apply_updates(target: DataFrame, candidates: DataFrame, spec: MergeSpec) -> DataFrame:
-    """Target rows with the updates applied, and ``_changed``."""
+def _apply_updates(target: DataFrame, candidates: DataFrame, spec: MergeSpec, flag: str = "_changed") -> DataFrame:
+    """Target rows with the updates applied, and ``flag``: whether that changed a value."""
     columns = target.columns
     wide, names = _match_keys(target, spec)
-    joined = spread_join(wide, _updates(candidates, spec), names, "left", spread_nulls=True)
-    mine, low, high = F.col(spec.watch), F.col("_low"), F.col("_high")
+    values, low_, high_ = (spare(n, wide) for n in ("_values", "_low", "_high"))
+    updates = _updates(candidates, spec).withColumnsRenamed({"_values": values, "_low": low_, "_high": high_})
+    joined = spread_join(wide, updates, names, "left", spread_nulls=True)
+    mine, low, high = F.col(spec.watch), F.col(low_), F.col(high_)
     like_low = mine.eqNullSafe(low["_value"])
     like_high = mine.eqNullSafe(high["_value"])
-    one, two = F.col("_values") == 1, F.col("_values") == 2
+    one, two = F.col(values) == 1, F.col(values) == 2
     chosen = F.when(one & ~like_low, low).when(two & like_low, high).when(two & like_high, low)
-    too_many = (F.col("_values") > 2) | (two & ~like_low & ~like_high) | (chosen["_n"] > 1)
+    too_many = (F.col(values) > 2) | (two & ~like_low & ~like_high) | (chosen["_n"] > 1)
     message = F.lit("merge: more than one source row would update the same target row")
-    chosen = F.when(too_many, F.raise_error(message)).otherwise(chosen)
-    joined = joined.withColumn("_chosen", chosen)
-    hit = F.col("_chosen").isNotNull()
+    pick = spare("_chosen", joined)
+    joined = joined.withColumn(pick, F.when(too_many, F.raise_error(message)).otherwise(chosen))
+    hit = F.col(pick).isNotNull()
     updated = [
-        F.when(hit, F.col("_chosen")["_set"][c]).otherwise(F.col(c)).alias(c) if c in spec.update else F.col(c)
+        F.when(hit, F.col(pick)["_set"][c]).otherwise(F.col(c)).alias(c) if c in spec.update else F.col(c)
         for c in columns
     ]
-    return joined.select(*updated, hit.alias("_changed"))
+    other = any_of(~F.col(c).eqNullSafe(F.col(pick)["_set"][c]) for c in spec.update)
+    return joined.select(*updated, (hit & other).alias(flag))
 
 
 def merge_frames(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
     """The whole target after the merge; nothing is written or run until it is read."""
     columns = target.columns
-    change = changes(target, conform(source, target.schema), spec)
-    inserts = change.where("_insert").drop("_insert")
+    flag = spare("_insert", target)
+    change = changes(target, conform(source, target.schema), spec, flag)
+    inserts = change.where(F.col(flag)).drop(flag)
     if spec.watch is None:
         return target.unionByName(inserts)
-    candidates = change.where("NOT _insert").drop("_insert")
+    candidates = change.where(~F.col(flag)).drop(flag)
     return _apply_updates(target, candidates, spec).select(*columns).unionByName(inserts)
 
 
@@ -189,8 +222,8 @@ def merge_insert_only(
 ) -> DataFrame:
     """The target with the source rows appended whose key it does not hold."""
     spec = MergeSpec(keys=tuple(keys), nan_never_matches=tuple(nan_never_matches))
-    source = conform(source, target.schema)
-    return target.unionByName(changes(target, source, spec).drop("_insert"))
+    source, flag = conform(source, target.schema), spare("_insert", target)
+    return target.unionByName(changes(target, source, spec, flag).drop(flag))
 
 
 def merge_table(
@@ -210,22 +243,75 @@ def merge_table(
     source = conform(source, target.schema)
     work = fresh_dir(spark, "merge")
     partitioned = tables.partition_columns(spark, name)
+    flag = spare("_insert", target)
     try:
-        if not spec.unique_source and not cheap_source:
+        if not cheap_source and (spec.indexed or not spec.unique_source):
             # Read twice below: for rows with NULL keys and by the join.
-            source = stage(source, "source", f"{work}/source")
-        inserts, candidates = stage_split(changes(target, source, spec), "_insert", "changes", f"{work}/changes")
+            source, cheap_source = stage(source, "source", f"{work}/source"), True
+        index = None
+        if spec.indexed and partitioned:
+            index = KeyIndex(spark, name, spec, partitioned, _unmatchable(spec))
+            change = _changes_by_index(index, source, spec, flag)
+        elif cheap_source and partitioned and set(partitioned) <= set(spec.keys):
+            # The key fixes the partition: no other one can hold a match.
+            held = target.where(_within(source.where(~_unmatchable(spec)), partitioned))
+            change = changes(held, source, spec, flag)
+        else:
+            change = changes(target, source, spec, flag)
+        inserts, candidates = stage_split(change, flag, "changes", f"{work}/changes")
         if spec.watch is not None and not candidates.isEmpty():
             if not partitioned:
-                merged = _apply_updates(target, candidates, spec).select(*target.columns).unionByName(inserts)
+                merged = _apply_updates(target, candidates, spec, flag).select(*target.columns).unionByName(inserts)
                 tables.atomic_refresh(spark, name, merged)
                 return
+            if index:
+                target = target.where(_within(index.rows_of(candidates), partitioned))
             _rewrite_partitions(spark, name, target, candidates, spec, partitioned, f"{work}/rewrite")
         tables.append(spark, name, inserts)
+        if index:
+            index.add(inserts)
     finally:
         discard(spark, work)
 
 
+def _changes_by_index(index: KeyIndex, source: DataFrame, spec: MergeSpec, flag: str) -> DataFrame:
+    """``changes`` told from the key index: only the source's distinct keys are shuffled to it.
+
+    The rows are then picked by the keys that changed, usually few enough to be broadcast.
+    """
+    columns = source.columns
+    keyed, names = index.hashed(source.where(~_unmatchable(spec)))
+    facts = _Facts(spec, keyed)
+    watched = [spec.watch] if spec.watch else []
+    own = keyed.select(*names, *watched).distinct()
+    found = own.join(facts.of(index.table(), names), names, "left").where(facts.differ)
+    value = {c: spare(f"_own_{c}", keyed) for c in watched}
+    found = found.select(*names, *[F.col(c).alias(n) for c, n in value.items()], facts.new.alias(flag))
+    rows = spread_join(keyed, found, names, "inner")
+    for c, n in value.items():
+        rows = rows.where(F.col(c).eqNullSafe(F.col(n)))
+    result = rows.select(*columns, flag)
+    if _open_ended(source, spec):
+        result = result.unionByName(source.where(_unmatchable(spec)).select(*columns, F.lit(True).alias(flag)))
+    return result
+
+
+def _within(rows: DataFrame, partitioned: list[str]) -> Column:
+    """Rows in the partitions that occur in ``rows``; one entry per day is collected."""
+    found = rows.select(*partitioned).distinct().collect()
+    if not found:
+        return F.lit(False)
+    only = all_of(
+        F.col(c).isin([row[c] for row in found if row[c] is not None])
+        | (F.col(c).isNull() if any(row[c] is None for row in found) else F.lit(False))
+        for c in partitioned
+    )
+    if len(partitioned) > 1:
+        # Value by value the filter lets more combinations through; only these are meant.
+        only = only & any_of(all_of(F.col(c).eqNullSafe(F.lit(row[c])) for c in partitioned) for row in found)
+    return only
+
+
 def _rewrite_partitions(
     spark: SparkSession,
     name: str,
@@ -235,22 +321,11 @@ def _rewrite_partitions(
     partitioned: list[str],
     path: str,
 ) -> None:
-    if set(partitioned) <= set(spec.keys):
-        # The key fixes the partition, so only the candidates' own can change.
-        changing = candidates
-    else:
-        changing = _apply_updates(target, candidates, spec).where("_changed")
-    touched = changing.select(*partitioned).distinct().collect()  # one entry per day
-    if not touched:
-        return
-    only = all_of(
-        F.col(c).isin([row[c] for row in touched if row[c] is not None])
-        | (F.col(c).isNull() if any(row[c] is None for row in touched) else F.lit(False))
-        for c in partitioned
-    )
-    if len(partitioned) > 1:
-        # Value by value the filter lets more combinations through; only these are rewritten.
-        only = only & F.struct(*partitioned).isin([F.struct(*[F.lit(row[c]) for c in partitioned]) for row in touched])
-    changed = _apply_updates(target.where(only), candidates, spec).select(*target.columns)
-    stage(changed, "rewrite", path)
-    tables.overwrite_partitions(spark, name, path)
+    """Write the partitions anew in which an update changes a value; others are left as they are."""
+    flag = spare("_changed", target)
+    changing = _apply_updates(target, candidates, spec, flag).where(F.col(flag))
+    only = _within(changing, partitioned)
+    changed = _apply_updates(target.where(only), candidates, spec, flag)
+    rows = stage(changed.select(*target.columns), "rewrite", path)
+    if not rows.isEmpty():
+        tables.overwrite_partitions(spark, name, path)

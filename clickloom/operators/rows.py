@@ -112,9 +112,29 @@ def zip_items(df: DataFrame, fields: Sequence[str], items: str = "items") -> Dat
     return df.withColumn(items, F.arrays_zip(*[F.col(f"{items}.{name}") for name in fields]))
 
 
+def unnest(df: DataFrame, items: str = "items", into: str = "item") -> DataFrame:
+    """One row per item, NULL and empty lists giving none.
+
+    From a plain explode Spark infers that the list is not empty and filters by that below
+    whatever makes the list, so a nested expression is computed once more for each zipped
+    field. Nothing is inferred from the outer form; its rows without a position are dropped.
+    """
+    place = spare("_place", df)
+    rows = df.drop(into).select("*", F.posexplode_outer(items).alias(place, into))
+    return rows.where(F.col(place).isNotNull()).drop(place, items)
+
+
 def explode_items(df: DataFrame, fields: Sequence[str], items: str = "items", into: str = "item") -> DataFrame:
     """One row per item, NULL and empty lists giving none; ``into`` is a struct of ``fields``."""
-    return zip_items(df, fields, items).withColumn(into, F.explode(items)).drop(items)
+    return unnest(zip_items(df, fields, items), items, into)
+
+
+def spare(name: str, *frames: DataFrame) -> str:
+    """``name``, lengthened until no column of the frames has it."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def preview(df: DataFrame, n: int = 10) -> DataFrame:

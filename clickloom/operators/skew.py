@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+from clickloom.operators.rows import spare
+
 
 def spread_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, spread_nulls: bool = False
@@ -30,5 +32,5 @@ def spread_join(
         # By value and input partition, so a task that runs again deals the same way.
         plain = [f.name for f in left.schema.fields if not isinstance(f.dataType, (MapType, ArrayType, StructType))]
         mine = F.when(no_key, F.xxhash64(F.spark_partition_id(), *plain)).otherwise(spot)
-    joined = left.withColumn("_spot", mine).join(right.withColumn("_spot", spot), [*keys, "_spot"], how)
-    return joined.drop("_spot")
+    name = spare("_spot", left, right)
+    return left.withColumn(name, mine).join(right.withColumn(name, spot), [*keys, name], how).drop(name)

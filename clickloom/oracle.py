@@ -515,7 +515,15 @@ def _sql() -> dict[str, str]:
       ORDER BY country LIMIT 5"""
     sql["two_day_run"] = _two_days()
     sql["two_day_items"], sql["two_day_users"] = sql["item_train"], sql["user_train"]
-    sql["two_day_cart_events"] = _two_days("cart_e2")
+    for kind, query in (("view", "two_day_view_events"), ("cart", "two_day_cart_events"), ("wish", "two_day_wishlist_events")):
+        sql[query] = _two_days(f"{kind}_e2")
+    sql["two_day_devices"] = sql["identity_map"]
+    sql["failed_reload"] = sql["shard_load"]
+    sql["gate_counts"] = (
+        _with(_ev()) + f"SELECT event_name, COUNT(*) AS n FROM ev WHERE partition_date <= DATE '{DAY_ONE}' GROUP BY 1"
+    )
+    sql["gate_days"] = _with(_ev()) + f"SELECT DISTINCT partition_date AS day FROM ev WHERE partition_date <= DATE '{DAY_ONE}'"
+    sql["failed_export"] = sql["replaced_export"] = sql["user_train"]
     return sql
 
 

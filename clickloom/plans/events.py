@@ -11,14 +11,17 @@ from pyspark.sql.types import StructType
 
 from clickloom import schemas
 from clickloom.functions.clock import local_datetime, parse_day
-from clickloom.functions.params import param, param_num, single_valued
+from clickloom.functions.params import any_of, param, param_num, single_valued
 from clickloom.operators.dedupe import latest_per_key
-from clickloom.operators.gates import gate, has_event
+from clickloom.operators.gates import gate
 from clickloom.operators.merge import MergeSpec, merge_table
-from clickloom.operators.rows import conform, events_upto, require, zip_items
+from clickloom.operators.rows import by_event, conform, events_upto, require, unnest, upto, zip_items
+from clickloom.plans import identity, raw
 from clickloom.plans.identity import backfill_user
 from clickloom.plans.layout import Layout
 from clickloom.sources import tables
+from clickloom.sources.versions import Progress, on_days, partition_versions
+from clickloom.workspace import discard, fresh_dir, stage
 
 # Parameter look-ups: column -> (key, kind), kind being a value field or "number"
 # for whichever numeric field is set.
@@ -202,7 +205,7 @@ def flatten(events: DataFrame, spec: EventSpec) -> DataFrame:
 
 def unpack(flat: DataFrame, spec: EventSpec) -> DataFrame:
     """One row per item with its parameters as columns."""
-    rows = flat.withColumn("item", F.explode("items")).drop("items")
+    rows = unnest(flat)
     return rows.select(
         *[c for c in rows.columns if c != "item"],
         local_datetime(F.col("event_timestamp")).alias("event_datetime_kst"),
@@ -212,13 +215,13 @@ def unpack(flat: DataFrame, spec: EventSpec) -> DataFrame:
     )
 
 
-def extract(raw: DataFrame, devices: DataFrame, spec: EventSpec, ds: str | None) -> DataFrame:
+def extract(source: DataFrame, devices: DataFrame, spec: EventSpec, ds: str | None) -> DataFrame:
     """Item rows of one event up to ``ds``: users filled in, required fields present,
     one row per key.
 
     Users are looked up per event, before the items are unpacked.
     """
-    flat = require(flatten(events_upto(raw, spec.event, ds), spec), "event_timestamp")
+    flat = require(flatten(events_upto(source, spec.event, ds), spec), "event_timestamp")
     # A row without user and device can never get a user.
     flat = flat.where(F.col("user_id").isNotNull() | F.col("user_pseudo_id").isNotNull())
     filled = require(backfill_user(flat, devices), "user_id")
@@ -230,11 +233,45 @@ def extract(raw: DataFrame, devices: DataFrame, spec: EventSpec, ds: str | None)
 
 
 def run(spark: SparkSession, layout: Layout, spec: EventSpec, ds: str) -> bool:
-    """Merge one event's item rows up to ``ds``; False when there is no such event yet."""
-    if not gate(lambda: has_event(spark.table(layout.event("raw_data")), spec.event, ds)):
+    """Merge one event's item rows up to ``ds``; False when there is no such event yet.
+
+    The source of the merge is all history, for a device that is identified late gets its old
+    events, and rows with a NULL key come again in every run. But only rows of two kinds can
+    differ from the last run: those of days that changed since, and those of devices that have
+    another user by now. Only these are extracted, the latter from the days on which the devices
+    have events. All else is in the table already and would change nothing, except the
+    rows with a NULL key: these are kept by day in a table beside it and come from there.
+    """
+    raw_name = layout.event("raw_data")
+    if not gate(lambda: raw.has_event(spark, layout, spec.event, ds)):
         return False
     name = layout.event(spec.table)
-    tables.ensure_table(spark, name, spec.schema, ["partition_date"])
-    raw, devices = spark.table(layout.event("raw_data")), spark.table(layout.event("user_pseudo_id"))
-    merge_table(spark, name, extract(raw, devices, spec, ds), spec.merge)
+    rest = f"{name}_unkeyed"
+    for table in (name, rest):
+        tables.ensure_table(spark, table, spec.schema, ["partition_date"])
+    progress = Progress(spark, f"{name}_seen")
+    now, batch = partition_versions(spark, raw_name), identity.last_batch(spark, layout)
+    fresh = [d for d in progress.changed(now) if d <= ds]
+    old = [d for d in now if d <= ds and d not in fresh]
+    work = fresh_dir(spark, "events")
+    try:
+        devices = identity.changed_devices(spark, layout, progress.lowest_batch(old)) if old else None
+        again = sorted(set(identity.days_of(spark, layout, devices)) & set(old)) if old else []
+        every = spark.table(raw_name)
+        rows = every.where(on_days(fresh))
+        if again:
+            history = by_event(every, spec.event).where(on_days(again))
+            rows = rows.unionByName(history.join(devices, "user_pseudo_id", "left_semi").select(*every.columns))
+        found = extract(rows, spark.table(layout.event("user_pseudo_id")), spec, ds)
+        found = stage(found, "source", f"{work}/source")
+        kept = upto(spark.table(rest), ds).where(~on_days(fresh))
+        if again:
+            kept = kept.join(devices, "user_pseudo_id", "left_anti").select(*found.columns)
+        kept = stage(kept, "unkeyed", f"{work}/unkeyed")
+        merge_table(spark, name, found.unionByName(kept), spec.merge, cheap_source=True)
+        unkeyed = any_of(F.col(k).isNull() for k in spec.keys)
+        tables.replace_days(spark, rest, found.where(unkeyed).unionByName(kept.where(on_days(again))), [*fresh, *again])
+        progress.note(now, batch, ds)
+    finally:
+        discard(spark, work)
     return True

@@ -11,20 +11,21 @@ from pyspark.sql.types import StructType
 
 from clickloom import schemas
 from clickloom.functions.clock import micros_to_seconds, parse_day
-from clickloom.operators.gates import gate, has_partition
+from clickloom.operators.gates import gate, listed_days
 from clickloom.operators.merge import MergeSpec, merge_table
 from clickloom.operators.rows import conform, require, tag, upto
 from clickloom.plans.layout import Layout
 from clickloom.sources import files, tables
 
 # Updates when the day differs, yet the day itself is not among the updated columns,
-# so such a row is updated again by every run.
-FACT_MERGE = MergeSpec(("user_id", "item_id", "timestamp"), "partition_date", ("event_value", "event_type"))
+# so such a row is updated again by every run, to the same values.
+FACT_MERGE = MergeSpec(("user_id", "item_id", "timestamp"), "partition_date", ("event_value", "event_type"), indexed=True)
 
 # NaN equals NaN in Spark; a NaN value must match nothing.
 INTERACTION_MERGE = MergeSpec(
     ("user_id", "item_id", "event_type", "event_value", "timestamp", "partition_date"),
     nan_never_matches=("event_value",),
+    indexed=True,
 )
 
 _FACT_COLUMNS = ("user_id", "item_id", "event_value", "timestamp", "partition_date")
@@ -110,7 +111,7 @@ def _run_facts(
     ds: str,
     cheap: bool = True,
 ) -> bool:
-    if not gate(lambda: has_partition(spark.table(layout.event(source)), ds)):
+    if not gate(lambda: bool(listed_days(spark, layout.event(source), ds))):
         return False
     name = layout.training(target)
     tables.ensure_table(spark, name, schema, ["partition_date"])

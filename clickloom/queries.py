@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
@@ -29,7 +30,7 @@ from clickloom.functions.clock import (
 )
 from clickloom.functions.params import param, param_num
 from clickloom.operators.dedupe import latest_per_key
-from clickloom.operators.gates import count_having, gate, has_event
+from clickloom.operators.gates import count_having, gate, has_event, listed_days
 from clickloom.operators.merge import MergeSpec, merge_frames, merge_insert_only, merge_table
 from clickloom.operators.rows import (
     conform,
@@ -480,6 +481,51 @@ def shard_load(spark: SparkSession, sf: str) -> DataFrame:
         return kept(spark.table(layout.event("raw_data")).select(*_RAW_COLUMNS))
 
 
+def failed_reload(spark: SparkSession, sf: str) -> DataFrame:
+    """A reload that fails while it writes, and one of a shard with a column too few, leave the day as it was."""
+    with _database(spark, "failed") as db:
+        name = f"{db}.raw_data"
+        whole = kept(shapes.raw_data(spark, sf))
+        tables.ensure_table(spark, name, whole.schema, ["partition_date"])
+        tables.append(spark, name, whole)
+        shard = whole.where(F.col("event_date") == "20240115")
+        late = F.col("event_timestamp") % 10 == 3
+        broken = F.when(late, F.raise_error(F.lit("broken shard")).cast("string")).otherwise(F.col("event_name"))
+        failures = 0
+        for bad in (shard.withColumn("event_name", broken), shard.drop("items")):
+            try:
+                tables.reload_day(spark, name, bad, DAY_ONE)
+            except (ValueError, PySparkException):
+                failures += 1
+        if failures != 2:
+            raise AssertionError("the reloads should have failed")
+        return kept(spark.table(name).select(*_RAW_COLUMNS))
+
+
+def _stored_raw(spark: SparkSession, sf: str, db: str) -> Layout:
+    """All raw events as a table by day."""
+    layout = Layout(shards=db, events=db)
+    rows = shapes.raw_data(spark, sf)
+    tables.ensure_table(spark, layout.event("raw_data"), rows.schema, ["partition_date"])
+    tables.append(spark, layout.event("raw_data"), rows)
+    return layout
+
+
+def gate_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each event up to DAY_ONE, as the gates of the event jobs see them."""
+    with _database(spark, "gates") as db:
+        counts = raw.event_counts(spark, _stored_raw(spark, sf, db))
+        return kept(upto(counts, DAY_ONE).groupBy("event_name").agg(F.sum("n").alias("n")))
+
+
+def gate_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Days up to DAY_ONE that the raw table has, from its listing."""
+    with _database(spark, "gates") as db:
+        layout = _stored_raw(spark, sf, db)
+        days = listed_days(spark, layout.event("raw_data"), DAY_ONE)
+        return spark.createDataFrame([(d,) for d in days], "day string").select(F.col("day").cast("date").alias("day"))
+
+
 def append_twice(spark: SparkSession, sf: str) -> DataFrame:
     with _database(spark, "append") as db:
         rows = user_train(spark, sf)
@@ -535,6 +581,28 @@ def _export(kind: str, rows: Query) -> Query:
     return run
 
 
+def failed_export(spark: SparkSession, sf: str) -> DataFrame:
+    """An export with a missing value raises, and the one before it is still what a reader finds."""
+    with _folder(spark, "export") as base:
+        rows = kept(user_train(spark, sf))
+        files.export_csv(rows, base, "user/user_train_data", DAY_ONE, required=rows.columns)
+        later = rows.withColumn("created_at", F.when(F.col("created_at") % 120 == 0, F.col("created_at") + 1))
+        try:
+            files.export_csv(later, base, "user/user_train_data", DAY_ONE, required=later.columns)
+        except ValueError:
+            return kept(files.read_export(spark, base, "user", DAY_ONE))
+        raise AssertionError("the export should have failed")
+
+
+def replaced_export(spark: SparkSession, sf: str) -> DataFrame:
+    """A second export of a date takes the place of the first."""
+    with _folder(spark, "export") as base:
+        rows = kept(user_train(spark, sf))
+        for found in (rows.limit(3), rows):
+            files.export_csv(found, base, "user/user_train_data", DAY_ONE, required=rows.columns)
+        return kept(files.read_export(spark, base, "user", DAY_ONE))
+
+
 def _country_source(spark: SparkSession, sf: str, path: str) -> str:
     """A CSV of customers and their nations, as a landed file."""
     c, n = shapes.table(spark, sf, "customer"), shapes.table(spark, sf, "nation")
@@ -589,6 +657,10 @@ def _two_days(pick: Callable[[Layout], str], jobs: Callable[..., object] = daily
     return run
 
 
+def _event_jobs(spark: SparkSession, layout: Layout, ds: str, _: str) -> bool:
+    return daily.run_events(spark, layout, ds)
+
+
 QUERIES: dict[str, Query] = {
     "identity_map": identity_map,
     "param_lookup": param_lookup,
@@ -634,6 +706,9 @@ QUERIES: dict[str, Query] = {
     "table_stats": table_stats_query,
     "day_reload": day_reload,
     "shard_load": shard_load,
+    "failed_reload": failed_reload,
+    "gate_counts": gate_counts,
+    "gate_days": gate_days,
     "append_twice": append_twice,
     "full_refresh": full_refresh,
     "atomic_refresh": atomic_refresh,
@@ -651,12 +726,15 @@ QUERIES: dict[str, Query] = {
     "interaction_csv": _export("interaction", interaction_export),
     "item_csv": _export("item", item_train),
     "user_csv": _export("user", user_train),
+    "failed_export": failed_export,
+    "replaced_export": replaced_export,
     "country_load": country_load,
     "country_refresh": country_refresh,
     "two_day_run": _two_days(lambda t: t.training("interaction_train_data")),
     "two_day_items": _two_days(lambda t: t.training("item_train_data"), items.run),
     "two_day_users": _two_days(lambda t: t.training("user_train_data"), users.run),
-    "two_day_cart_events": _two_days(
-        lambda t: t.event("add_to_cart_event"), lambda spark, layout, ds, _: daily.run_events(spark, layout, ds)
-    ),
+    "two_day_devices": _two_days(lambda t: t.event("user_pseudo_id"), _event_jobs),
+    "two_day_view_events": _two_days(lambda t: t.event("view_item_event"), _event_jobs),
+    "two_day_cart_events": _two_days(lambda t: t.event("add_to_cart_event"), _event_jobs),
+    "two_day_wishlist_events": _two_days(lambda t: t.event("add_to_wishlist_event"), _event_jobs),
 }

@@ -11,7 +11,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from clickloom.functions.clock import shard_name
 from clickloom.operators.rows import conform, with_partition_date
-from clickloom.workspace import discard
+from clickloom.workspace import discard, exists, fresh_dir, list_dir, stage
 
 _PREVIOUS = "clickloom.previous"
 _VERSION = "__version_"
@@ -95,13 +95,76 @@ def overwrite_partitions(spark: SparkSession, name: str, path: str) -> None:
 
 
 def reload_day(spark: SparkSession, name: str, shard: DataFrame, ds: str) -> None:
-    """Drop the day ``ds``, then add the shard's rows, each to its own day.
+    """Replace the day ``ds`` by the shard's rows, each going to its own day.
 
     Rows of the shard that belong to another day are added there, so a second reload
-    repeats them; only the day itself is replaced.
+    repeats them; only the day itself is replaced. All rows are written aside first; then the day
+    is switched to its new files in one catalog change, so readers see it before or
+    after, and a failure up to there leaves it as it was.
     """
-    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (partition_date = DATE'{ds}')")
-    append(spark, name, shard, gather=False)
+    shard = conform(shard, spark.table(name).schema)
+    work = f"{_location(spark, name)}/_versions/{uuid.uuid4().hex}"
+    try:
+        # One scan of the shard for both; each folder has a day's files.
+        shard.write.option("partitionOverwriteMode", "static").partitionBy("partition_date").parquet(work)
+        version = f"{work}/partition_date={ds}"
+        has_day = exists(spark, version)
+        strays = spark.read.schema(shard.schema).parquet(work).where(F.col("partition_date") != F.lit(ds).cast("date"))
+    except Exception:
+        discard(spark, work)
+        raise
+    if has_day:
+        switch_day(spark, name, ds, version)
+    else:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (partition_date = DATE'{ds}')")
+    if not strays.isEmpty():
+        append(spark, name, strays, gather=False)
+    _drop_others(spark, work, keep=f"partition_date={ds}" if has_day else None)
+
+
+def switch_day(spark: SparkSession, name: str, ds: str, version: str) -> None:
+    """Let the day's rows be those of the folder ``version``; its files before are kept until the next switch."""
+    spec = f"PARTITION (partition_date = DATE'{ds}')"
+    found = [r["partition"] for r in spark.sql(f"SHOW PARTITIONS {name} {spec}").collect()]
+    if not found:
+        spark.sql(f"ALTER TABLE {name} ADD {spec} LOCATION '{version}'")
+        spark.catalog.refreshTable(name)
+        return
+    detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name} {spec}").collect()}
+    current = detail["Location"].rstrip("/")
+    spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION '{version}'")
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_PREVIOUS}.{ds}' = '{current}')")
+    spark.catalog.refreshTable(name)
+    oldest = properties.get(f"{_PREVIOUS}.{ds}")
+    if oldest and oldest != current:
+        discard(spark, oldest)
+
+
+def replace_days(spark: SparkSession, name: str, df: DataFrame, days: Sequence[str]) -> None:
+    """Let the rows of these days be those of ``df``, which must not read the table; other days stay."""
+    work = fresh_dir(spark, "days")
+    try:
+        held = stage(conform(df, spark.table(name).schema), "days", work)
+        for ds in sorted(set(days) - {str(r[0]) for r in held.select("partition_date").distinct().collect()}):
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (partition_date = DATE'{ds}')")
+        overwrite_partitions(spark, name, work)
+    finally:
+        discard(spark, work)
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    return detail["Location"].rstrip("/")
+
+
+def _drop_others(spark: SparkSession, folder: str, keep: str | None) -> None:
+    if keep is None:
+        discard(spark, folder)
+        return
+    for path in list_dir(spark, folder):
+        if path.rsplit("/", 1)[1] != keep:
+            discard(spark, path)
 
 
 def full_refresh(spark: SparkSession, name: str, df: DataFrame) -> None:
@@ -116,8 +179,7 @@ def atomic_refresh(spark: SparkSession, name: str, df: DataFrame, required: Sequ
     point leaves the old rows readable. ``df`` may read the table itself. The version
     before is kept until the next refresh for readers still on it.
     """
-    detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
-    current = detail["Location"].rstrip("/")
+    current = _location(spark, name)
     # Beside the table's own folder, so that no reader of the old version lists it.
     version = f"{current.split(_VERSION)[0]}{_VERSION}{uuid.uuid4().hex}"
     try:

@@ -55,19 +55,39 @@ def stage_split(df: DataFrame, flag: str, label: str, path: str | None = None) -
 
     def part(value: str) -> DataFrame:
         folder = f"{path}/{flag}={value}"
-        if not _exists(spark, folder):
+        if not exists(spark, folder):
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(folder)
 
     return part("true"), part("false")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _on(spark: SparkSession, path: str) -> tuple[object, object]:
+    """The path and its file system, whichever that is."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+    return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder."""
+    jpath, system = _on(spark, path)
+    return system.exists(jpath)
+
+
+def list_dir(spark: SparkSession, path: str) -> list[str]:
+    """Paths of what the folder holds."""
+    jpath, system = _on(spark, path)
+    return [str(status.getPath().toString()) for status in system.listStatus(jpath)]
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder; raises when that is refused."""
+    jpath, system = _on(spark, path)
+    if not system.rename(jpath, _on(spark, to)[0]):
+        raise OSError(f"cannot move {path} to {to}")
 
 
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder made by this package once nothing reads it any more."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+    jpath, system = _on(spark, path)
+    system.delete(jpath, True)
