@@ -161,8 +161,8 @@ def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], **option
     return changes(target, source, spec, flag).drop(flag)
 
 
-def _updates(candidates: DataFrame, spec: MergeSpec) -> DataFrame:
-    """One row per key from the candidates: how many, and the two extreme values.
+def _updates(candidates: DataFrame, spec: MergeSpec, into: tuple[str, str, str]) -> DataFrame:
+    """One row per key from the candidates: how many values, and the two extreme ones, named ``into``.
 
     A target row whose value is ``v`` is updated by the candidates whose value is not
     ``v``, and there may be one of these at most. So if three values or more occur,
@@ -171,12 +171,14 @@ def _updates(candidates: DataFrame, spec: MergeSpec) -> DataFrame:
     """
     candidates, names = _match_keys(candidates, spec)
     payload = F.struct(*[F.col(c).alias(c) for c in spec.update])
-    by_value = candidates.groupBy(*names, F.col(spec.watch).alias("_value")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(payload).alias("_set")
+    value, n, set_ = (spare(x, candidates) for x in ("_value", "_n", "_set"))
+    by_value = candidates.groupBy(*names, F.col(spec.watch).alias(value)).agg(
+        F.count(F.lit(1)).alias(n), F.min(payload).alias(set_)
     )
-    entry = F.struct("_value", "_n", "_set")
+    entry = F.struct(F.col(value).alias("value"), F.col(n).alias("n"), F.col(set_).alias("set"))
+    values, low, high = into
     return by_value.groupBy(*names).agg(
-        F.count(F.lit(1)).alias("_values"), F.min(entry).alias("_low"), F.max(entry).alias("_high")
+        F.count(F.lit(1)).alias(values), F.min(entry).alias(low), F.max(entry).alias(high)
     )
 
 
@@ -185,23 +187,22 @@ def _apply_updates(target: DataFrame, candidates: DataFrame, spec: MergeSpec, fl
     columns = target.columns
     wide, names = _match_keys(target, spec)
     values, low_, high_ = (spare(n, wide) for n in ("_values", "_low", "_high"))
-    updates = _updates(candidates, spec).withColumnsRenamed({"_values": values, "_low": low_, "_high": high_})
-    joined = spread_join(wide, updates, names, "left", spread_nulls=True)
+    joined = spread_join(wide, _updates(candidates, spec, (values, low_, high_)), names, "left", spread_nulls=True)
     mine, low, high = F.col(spec.watch), F.col(low_), F.col(high_)
-    like_low = mine.eqNullSafe(low["_value"])
-    like_high = mine.eqNullSafe(high["_value"])
+    like_low = mine.eqNullSafe(low["value"])
+    like_high = mine.eqNullSafe(high["value"])
     one, two = F.col(values) == 1, F.col(values) == 2
     chosen = F.when(one & ~like_low, low).when(two & like_low, high).when(two & like_high, low)
-    too_many = (F.col(values) > 2) | (two & ~like_low & ~like_high) | (chosen["_n"] > 1)
+    too_many = (F.col(values) > 2) | (two & ~like_low & ~like_high) | (chosen["n"] > 1)
     message = F.lit("merge: more than one source row would update the same target row")
     pick = spare("_chosen", joined)
     joined = joined.withColumn(pick, F.when(too_many, F.raise_error(message)).otherwise(chosen))
     hit = F.col(pick).isNotNull()
     updated = [
-        F.when(hit, F.col(pick)["_set"][c]).otherwise(F.col(c)).alias(c) if c in spec.update else F.col(c)
+        F.when(hit, F.col(pick)["set"][c]).otherwise(F.col(c)).alias(c) if c in spec.update else F.col(c)
         for c in columns
     ]
-    other = any_of(~F.col(c).eqNullSafe(F.col(pick)["_set"][c]) for c in spec.update)
+    other = any_of(~F.col(c).eqNullSafe(F.col(pick)["set"][c]) for c in spec.update)
     return joined.select(*updated, (hit & other).alias(flag))
 
 
@@ -214,7 +215,7 @@ def merge_frames(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataF
     if spec.watch is None:
         return target.unionByName(inserts)
     candidates = change.where(~F.col(flag)).drop(flag)
-    return _apply_updates(target, candidates, spec).select(*columns).unionByName(inserts)
+    return _apply_updates(target, candidates, spec, flag).select(*columns).unionByName(inserts)
 
 
 def merge_insert_only(

@@ -15,7 +15,7 @@ from clickloom.functions.params import any_of, param, param_num, single_valued
 from clickloom.operators.dedupe import latest_per_key
 from clickloom.operators.gates import gate
 from clickloom.operators.merge import MergeSpec, merge_table
-from clickloom.operators.rows import by_event, conform, events_upto, require, unnest, upto, zip_items
+from clickloom.operators.rows import conform, events_upto, require, unnest, upto, zip_items
 from clickloom.plans import identity, raw
 from clickloom.plans.identity import backfill_user
 from clickloom.plans.layout import Layout
@@ -215,15 +215,18 @@ def unpack(flat: DataFrame, spec: EventSpec) -> DataFrame:
     )
 
 
-def extract(source: DataFrame, devices: DataFrame, spec: EventSpec, ds: str | None) -> DataFrame:
-    """Item rows of one event up to ``ds``: users filled in, required fields present,
-    one row per key.
+def candidates(source: DataFrame, spec: EventSpec, ds: str | None) -> DataFrame:
+    """Flattened events up to ``ds`` that have, or may get, a user."""
+    flat = require(flatten(events_upto(source, spec.event, ds), spec), "event_timestamp")
+    # A row without user and device can never get a user.
+    return flat.where(F.col("user_id").isNotNull() | F.col("user_pseudo_id").isNotNull())
+
+
+def item_rows(flat: DataFrame, devices: DataFrame, spec: EventSpec) -> DataFrame:
+    """Item rows of flattened events: users filled in, required fields present, one row per key.
 
     Users are looked up per event, before the items are unpacked.
     """
-    flat = require(flatten(events_upto(source, spec.event, ds), spec), "event_timestamp")
-    # A row without user and device can never get a user.
-    flat = flat.where(F.col("user_id").isNotNull() | F.col("user_pseudo_id").isNotNull())
     filled = require(backfill_user(flat, devices), "user_id")
     rows = require(unpack(filled, spec), spec.item_key, "price")
     rows = latest_per_key(rows, spec.keys, F.desc(spec.order))
@@ -232,6 +235,11 @@ def extract(source: DataFrame, devices: DataFrame, spec: EventSpec, ds: str | No
     return conform(rows, spec.schema)
 
 
+def extract(source: DataFrame, devices: DataFrame, spec: EventSpec, ds: str | None) -> DataFrame:
+    """Item rows of one event up to ``ds``."""
+    return item_rows(candidates(source, spec, ds), devices, spec)
+
+
 def run(spark: SparkSession, layout: Layout, spec: EventSpec, ds: str) -> bool:
     """Merge one event's item rows up to ``ds``; False when there is no such event yet.
 
@@ -258,12 +266,12 @@ def run(spark: SparkSession, layout: Layout, spec: EventSpec, ds: str) -> bool:
         devices = identity.changed_devices(spark, layout, progress.lowest_batch(old)) if old else None
         again = sorted(set(identity.days_of(spark, layout, devices)) & set(old)) if old else []
         every = spark.table(raw_name)
-        rows = every.where(on_days(fresh))
+        flat = candidates(every.where(on_days(fresh)), spec, ds)
         if again:
-            history = by_event(every, spec.event).where(on_days(again))
-            rows = rows.unionByName(history.join(devices, "user_pseudo_id", "left_semi").select(*every.columns))
-        found = extract(rows, spark.table(layout.event("user_pseudo_id")), spec, ds)
-        found = stage(found, "source", f"{work}/source")
+            # Flattened first, so the join has a few plain columns.
+            history = candidates(every.where(on_days(again)), spec, ds)
+            flat = flat.unionByName(history.join(devices, "user_pseudo_id", "left_semi").select(*flat.columns))
+        found = stage(item_rows(flat, spark.table(layout.event("user_pseudo_id")), spec), "source", f"{work}/source")
         kept = upto(spark.table(rest), ds).where(~on_days(fresh))
         if again:
             kept = kept.join(devices, "user_pseudo_id", "left_anti").select(*found.columns)
