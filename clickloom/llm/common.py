@@ -29,6 +29,20 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Rows of a small table to a task.
+ROWS = 1 << 14
+
+
+def packed(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of at most so many narrow rows, in as many tasks as these are worth.
+
+    For steps of a loop, where a task to each shuffle partition costs more than its rows; with
+    many rows it is one all the same.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.coalesce(max(1, min(parts, -(-rows // ROWS))))
+
+
 class Scratch:
     """Parquet tables in the shared folder that live as long as the ``with`` block.
 
@@ -87,18 +101,20 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
             edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), "edges"
         )
         before = _state(now)
+        # A step never makes more edges than there are, once each has its reverse.
+        n = 2 * before[0]
         for _ in range(rounds):
             if before[0] == 0:
                 break
             both = now.unionByName(now.select(b.alias("a"), a.alias("b")))
-            least = scratch.table(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "large")
+            least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+            least = scratch.table(packed(least, n), "large")
             large = both.where(b > a).join(least, "a").select(b.alias("a"), F.col("m").alias("b"))
-            large = scratch.table(large.where(a != b).distinct(), "edges")
-            least = scratch.table(large.groupBy("a").agg(F.min("b").alias("m")), "small")
+            large = scratch.table(packed(large.where(a != b).distinct(), n), "edges")
+            least = scratch.table(packed(large.groupBy("a").agg(F.min("b").alias("m")), n), "small")
             small = large.join(least, "a").select(b.alias("a"), F.col("m").alias("b"))
-            now = scratch.table(
-                small.unionByName(least.select("a", F.col("m").alias("b"))).where(a != b).distinct(), "edges"
-            )
+            small = small.unionByName(least.select("a", F.col("m").alias("b"))).where(a != b).distinct()
+            now = scratch.table(packed(small, n), "edges")
             scratch.drop_oldest(keep=1)
             after = _state(now)
             if after == before:
@@ -106,8 +122,9 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
             before = after
         else:
             raise RuntimeError(f"components still change after {rounds} rounds")
-        return settle(now.groupBy(a.alias("node")).agg(F.min("b").alias("component")).unionByName(
-            now.select(b.alias("node"), b.alias("component")).distinct()))
+        # Every node but the least of a component points at that one now.
+        ends = now.select(a.alias("node"), b.alias("component"))
+        return settle(ends.unionByName(now.select(b.alias("node"), b.alias("component")).distinct()))
 
 
 def _state(edges: DataFrame) -> tuple:

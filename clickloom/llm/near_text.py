@@ -28,8 +28,8 @@ BANDS, ROWS = 40, 6
 BINS = BANDS * ROWS
 #: Signatures that agree in fewer values belong to pairs below 0.8 (six standard deviations).
 CLOSE = 0.64
-#: Members to a block in the exhaustive comparison.
-BLOCK = 256
+#: Members, and shingles of them, to a block in the exhaustive comparison.
+BLOCK, CELLS = 256, 1 << 21
 
 EDGES = (np.arange(BINS, dtype=object) * (1 << 64) // BINS).astype(U)
 FACTORS = mix(np.arange(1, ROWS + 1, dtype=U) * U(0xA0761D6478BD642F)) | U(1)
@@ -114,9 +114,12 @@ def near_duplicates(
     sets; ``component_id`` is the smallest id that links reach. Words are lower-cased in
     A-Z. Texts without words, NULL ones too, have 0 shingles and are linked with nothing;
     equal sets are one node, so copies make no pairs. Rows that repeat an id count as one
-    document with the links of all of them; rows without an id are left out; further columns are ignored; an empty table gives no rows. ``percent``
-    should be 80 or more: the bands are made for that.
+    document with the links of all of them; rows without an id are left out; further columns
+    are ignored; an empty table gives no rows. The bands are made for a ``percent`` of 80 or
+    more; less raises, as links would be lost.
     """
+    if percent < 80:
+        raise ValueError("the bands find pairs of 80 percent or more")
     spark = docs.sparkSession
     rows = docs.where(F.col(doc).isNotNull()).select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
     with Scratch(spark) as scratch:
@@ -126,24 +129,20 @@ def near_duplicates(
             ),
             "sketches",
         )
-        # Equal sets are one node, named by their smallest id.
-        nodes = scratch.table(
-            base.where("n > 0").groupBy("f", "g", "n").agg(F.min("doc_id").alias("node")), "nodes"
-        )
-        same = F.col("doc_id") == F.col("node")
+        # Equal sets are one node, named by their smallest id; their sketches are equal, too.
         print_ = ["f", "g", "n"]
         distinct = scratch.table(
-            base.where("n > 0").join(nodes, print_).where(same).groupBy("node", *print_).agg(
-                F.first("bands").alias("bands"), F.first("sig").alias("sig")
+            base.where("n > 0").groupBy(*print_).agg(
+                F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("sig").alias("sig")
             ),
             "distinct",
         )
-        members = distinct.select("node", F.posexplode("bands").alias("band", "key"))
-        buckets = scratch.table(
-            members.groupBy("band", "key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("m")).where("m > 1"),
-            "buckets",
+        members = distinct.select("node", "n", F.posexplode("bands").alias("band", "key"))
+        buckets = members.groupBy("band", "key").agg(
+            F.min("node").alias("centre"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("shingles")
         )
-        members = scratch.table(members.join(buckets, ["band", "key"]), "members")
+        buckets = scratch.table(buckets.where("m > 1"), "buckets")
+        members = scratch.table(members.drop("n").join(buckets, ["band", "key"]), "members")
         stars = members.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
         stars = scratch.table(stars, "stars")
         linked = scratch.table(_confirm(scratch, rows, stars, words, percent), "links")
@@ -157,15 +156,23 @@ def near_duplicates(
         named = scratch.table(named.drop("centre"), "named")
         open_ = named.groupBy("band", "key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
         open_ = scratch.table(open_.where("x != y").select("band", "key"), "open")
-        unsettled = scratch.table(named.join(open_, ["band", "key"]), "unsettled")
-        sets = scratch.table(_full_sets(scratch, rows, unsettled.select("node"), words), "full-sets")
-        sets = sets.withColumnRenamed("id", "node").join(distinct.select("node", "sig"), "node")
-        more = scratch.table(_exhaust(unsettled, sets, percent).distinct(), "more-links")
-        if not more.isEmpty():
-            found = components(linked.unionByName(more))
-        out = base.join(nodes, print_, "left").join(found, "node", "left")
-        out = out.select(
-            "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "node", "doc_id").alias("component_id")
+        whole = None
+        if not open_.isEmpty():
+            unsettled = scratch.table(named.join(open_, ["band", "key"]), "unsettled")
+            sets = scratch.table(_full_sets(scratch, rows, unsettled.select("node"), words), "full-sets")
+            sets = sets.withColumnRenamed("id", "node").join(distinct.select("node", "sig"), "node")
+            more = scratch.table(_exhaust(unsettled, sets, percent).distinct(), "more-links")
+            if not more.isEmpty():
+                whole = components(more).withColumnsRenamed({"node": "part", "component": "whole"})
+        nodes = distinct.select("node", *print_).join(found, "node", "left").withColumn(
+            "component", F.coalesce("component", "node")
+        )
+        if whole is not None:
+            nodes = nodes.join(whole, F.col("component") == F.col("part"), "left").withColumn(
+                "component", F.coalesce("whole", "component")
+            )
+        out = base.join(nodes.select("component", *print_), print_, "left").select(
+            "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
         )
         return settle(out.withColumn("kept", F.col("doc_id") == F.col("component_id")))
 
@@ -184,19 +191,18 @@ def _confirm(scratch: Scratch, rows: DataFrame, pairs: DataFrame, words: int, pe
     both = second.join(sets.select(F.col("id").alias("a"), "s"), "a")
     shared = F.size(F.array_intersect("s", "t"))
     union = F.size("s") + F.size("t") - shared
-    return both.where(100 * shared >= percent * union).select("a", "b").distinct()
+    return both.where(100 * shared >= percent * union).select("a", "b")
 
 
 def _exhaust(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between different components of one bucket.
+    """Components (a, b) that a link between members of one bucket joins.
 
-    A bucket is cut into blocks by hash; block meets block in one task. Pairs with close
-    signatures are confirmed there on the full sets, unless links found before join them
-    already, so a task gives out a forest and never all pairs.
+    A bucket is cut into blocks by hash, by its members and by their shingles; block meets
+    block in one task. Pairs with close signatures are confirmed there on the full sets, unless links
+    found before join them already, so a task gives out a forest and never all pairs.
     """
-    blocks = members.join(sets, "node").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / BLOCK)).cast("int")
-    )
+    count = F.ceil(F.greatest(F.col("m") / BLOCK, F.col("shingles") / CELLS))
+    blocks = members.join(sets, "node").withColumn("block", F.pmod(F.xxhash64("node"), count).cast("int"))
     packed = blocks.groupBy("band", "key", "block").agg(
         F.collect_list(F.struct("node", "component", "sig", "s")).alias("left")
     )
@@ -214,7 +220,7 @@ def _exhaust(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _links(a: tuple, b: tuple, percent: int) -> list[tuple[int, int]]:
-    """A forest of confirmed links between members of two blocks (which may be the same)."""
+    """A forest of the components that confirmed links join, between two blocks or within one."""
     names, component = np.unique(np.r_[a[1], b[1]], return_inverse=True)
     mine, theirs = component[: len(a[1])], component[len(a[1]) :]
     parent = np.arange(len(names))
@@ -232,7 +238,7 @@ def _links(a: tuple, b: tuple, percent: int) -> list[tuple[int, int]]:
             old, new = parent[theirs[x]], parent[mine[i]]
             if old != new:
                 parent[parent == old] = new
-                links.append((min(int(a[0][i]), int(b[0][x])), max(int(a[0][i]), int(b[0][x]))))
+                links.append((int(a[1][i]), int(b[1][x])))
     return links
 
 
