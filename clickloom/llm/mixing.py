@@ -142,8 +142,9 @@ def _solve(scratch: Scratch, classes: DataFrame, goals: DataFrame, cap: int) ->
         slope = F.when(rate < cap, rate * x).otherwise(0.0)
         joined = classes.join(state.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
         sums = joined.groupBy("source").agg(
-            F.sum(n * size * rate).alias("words"),
-            F.sum(n * size * slope).alias("slope"),
+            # Decimals add up the same in any order, so reruns agree to the last digit.
+            F.sum((n * size * rate).cast("decimal(38,6)")).cast("double").alias("words"),
+            F.sum((n * size * slope).cast("decimal(38,6)")).cast("double").alias("slope"),
             *[F.first(c).alias(c) for c in ("target", "mean", "lam", "low", "high")],
         )
         gap = F.col("words") - F.col("target")
@@ -252,15 +253,47 @@ def _deal(sized: DataFrame, planned: DataFrame, cap: int) -> DataFrame:
 
 
 def take(docs: DataFrame, copies: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """``docs`` with every row as many times as ``copies`` (doc_id, copies) says.
+    """``docs`` with every row as many times as ``copies`` (doc_id, copies) says; the others go.
 
-    Rows of one id must agree on their copies; those that are taken never go.
+    Ids must name rows: one that is there twice raises when the result is read, and rows
+    without one are not taken. ``mixed`` takes such tables as well.
     """
     columns = docs.columns
     id_, times, copy = (spare(docs, n) for n in ("_doc", "_copies", "_copy"))
-    wanted = copies.where("copies > 0").groupBy(F.col("doc_id").alias(id_)).agg(F.max("copies").cast("int").alias(times))
+    counted = copies.groupBy(F.col("doc_id").alias(id_)).agg(
+        F.count(F.lit(1)).alias("n"), F.max("copies").cast("int").alias(times)
+    )
+    unclear = F.raise_error(F.lit("copies of a repeated id"))
+    checked = F.when(F.col("n") > 1, unclear.cast("int")).otherwise(F.col(times))
+    wanted = counted.select(id_, checked.alias(times)).where(F.col(times) > 0)
     return (
-        docs.join(wanted, F.col(doc).eqNullSafe(F.col(id_)))
+        docs.join(wanted, F.col(doc) == F.col(id_))
         .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
         .select(*columns)
     )
+
+
+def mixed(
+    docs: DataFrame,
+    weights: Sequence[float] = (5, 2, 1),
+    cap: int = 3,
+    doc: str = "doc_id",
+    source: str = "source",
+    text: str = "text",
+) -> DataFrame:
+    """``docs`` with every row as many times as the mix takes it.
+
+    Rows are documents each, also where their ids repeat or are NULL: the rows of such a
+    table are numbered and written out once, and go by their numbers.
+    """
+    id_ = F.col(doc)
+    unique = docs.groupBy(id_).agg(F.count(F.lit(1)).alias("n")).where(id_.isNull() | (F.col("n") > 1)).isEmpty()
+    if unique:
+        copies = mix(docs.select(doc, source, text), weights, cap, doc, source, text)
+        return take(docs, copies.select("doc_id", "copies"), doc)
+    number = spare(docs, "_number")
+    with Scratch(docs.sparkSession) as scratch:
+        rows = scratch.table(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+        copies = mix(rows.select(number, source, text), weights, cap, number, source, text)
+        return settle(take(rows, copies.select("doc_id", "copies"), number).select(*docs.columns))
+

@@ -247,3 +247,26 @@ def test_surrogates_of_odd_rows(odd_docs):
     assert out.columns == [*odd_docs.columns, "n_entities"]
     assert rows(out.drop("n_entities")) == rows(odd_docs)
     assert surrogates.replace_entities(odd_docs.where("doc_id > 999"), b"k").collect() == []
+
+
+def test_mix_of_repeated_and_missing_ids(spark):
+    """Rows are taken one by one: the words taken are those planned, whatever the ids."""
+    words = lambda n: " ".join(["w"] * n)
+    data = [(None if i % 2 else i % 40, f"s{i % 3}", words(1 + i % 23), i) for i in range(600)]
+    docs = spark.createDataFrame(data, "doc_id bigint, source string, text string, _number int")
+    numbered = docs.withColumn("row", F.monotonically_increasing_id())
+    plan = mixing.mix(numbered, doc="row").groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("n"))
+    got = mixing.mixed(docs)
+    assert got.columns == docs.columns
+    taken = got.groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("n"))
+    assert {r.source: r.n for r in taken.collect()} == {r.source: r.n for r in plan.collect()}
+    assert got.groupBy("_number").count().agg(F.max("count")).first()[0] <= 3
+    again = sorted(map(str, mixing.mixed(docs).collect()))
+    assert again == sorted(map(str, got.collect()))
+    with pytest.raises(Exception, match="repeated id"):
+        mixing.take(docs, mixing.mix(docs).select("doc_id", "copies")).collect()
+    unique = docs.withColumn("doc_id", F.col("_number").cast("bigint"))
+    assert sorted(r._number for r in mixing.mixed(unique).collect()) == sorted(
+        r.doc_id for r in mixing.mix(unique).collect() for _ in range(r.copies)
+    )
+    assert mixing.mixed(docs.limit(0)).collect() == []
