@@ -62,8 +62,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it."""
-    copies = mixing.mix(docs.select("doc_id", "source", "text"), WEIGHTS, CAP)
-    return mixing.take(docs, copies.select("doc_id", "copies")).select(*docs.columns)
+    return mixing.mixed(docs, WEIGHTS, CAP)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
