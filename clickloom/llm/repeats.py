@@ -1,6 +1,9 @@
-"""Substring dedup by equal windows: bytes that repeat an earlier document's bytes go.
+"""Substring dedup by longest previous factors: bytes that repeat an earlier document's bytes go.
 
-Only windows that can be equal must meet, so nothing is sorted as a whole. A window (LENGTH bytes) is known by the least hash of its GRAM-byte grams; a
+The longest previous factor of a place is the longest string from there on that also starts
+in a smaller document; a byte goes if a factor of LENGTH bytes or more covers it. Only
+suffixes that can share as much must meet, so no suffix array of all the text is sorted. A
+window (LENGTH bytes) is known by the least hash of its GRAM-byte grams; a
 maximal run of windows with the same least hash is one piece, so most pieces hold many
 windows. The work, over chunks of whole documents:
 
@@ -9,9 +12,9 @@ windows. The work, over chunks of whole documents:
    rule most of it, is done with.
 2. Every chunk gives out its distinct pieces with such hashes, each with the smallest
    document id that holds it in the chunk.
-3. Per deal the windows of all pieces are sorted by their bytes. Equal windows stand
-   together, and the smallest document id among them is told back. Longest previous
-   factors are not computed: that they reach LENGTH is all that would be asked of them.
+3. Per deal the suffixes of all pieces are sorted and get their common prefixes with their
+   neighbours. The previous and the next one with a smaller document, in that order, give each
+   its longest previous factor; where that reaches LENGTH, the smaller document is told back.
 4. Every chunk marks the windows that a smaller document id holds, and cuts their bytes.
 
 A hash that comes from very many chunks (the edge of a passage that a third of all
@@ -289,28 +292,77 @@ def _give_pieces(deals: int, piece_deals: int):
 EMPTY_FOUND = pa.schema([("chunk", pa.int64()), ("number", pa.binary()), ("runs", pa.binary()), ("size", pa.binary()), ("doc", pa.binary())])
 
 
-def _previous(data: np.ndarray, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Of windows at ``at``: the smallest document among those with the same bytes.
-
-    Windows are sorted by their bytes, eight at a time; each stretch of equal ones takes
-    its least document.
-    """
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as a number that sorts like them."""
     padded = np.r_[data, np.zeros(8, np.uint8)]
     word = np.zeros(len(data), U)
     for i in range(8):
         word = word << U(8) | padded[i : i + len(data)].astype(U)
-    steps = [*range(0, LENGTH - 7, 8), LENGTH - 8]
-    order = np.lexsort([word[at + s] for s in reversed(steps)])
-    new = np.zeros(len(at), bool)
-    new[:1] = True
-    for s in steps:
+    return word
+
+
+STEPS = [*range(0, LENGTH - 7, 8), LENGTH - 8]
+
+
+def suffix_order(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes at ``at`` in order of their first LENGTH bytes, and what each shares with the one before.
+
+    The common prefix is counted in bytes, up to LENGTH; the first has none.
+    """
+    word = _words(data)
+    order = np.lexsort([word[at + s] for s in reversed(STEPS)])
+    shared = np.zeros(len(at), np.int64)
+    same = np.arange(1, len(at))
+    for s in STEPS:
         w = word[at[order] + s]
-        new[1:] |= w[1:] != w[:-1]
-    first = np.flatnonzero(new)
-    least = np.minimum.reduceat(doc[order], first)
-    out = np.empty(len(at), np.int64)
-    out[order] = np.repeat(least, np.diff(np.r_[first, len(at)]))
-    return out
+        differ = w[same] ^ w[same - 1]
+        other = differ != 0
+        # Equal leading bytes of the first words that differ.
+        bits = np.frexp((differ[other] >> U(8)).astype(np.float64))[1]
+        shared[same[other]] = s + np.where(differ[other] >> U(8) == 0, 7, (56 - bits) // 8)
+        same = same[~other]
+    shared[same] = LENGTH
+    return order, shared
+
+
+def _smaller(doc: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each suffix the nearest one before it with a smaller document, and what they share.
+
+    Pointers to the one before are doubled over suffixes that are no smaller, all at once; -1
+    and 0 where there is none that shares LENGTH bytes.
+    """
+    to = np.arange(-1, len(doc) - 1)
+    common = shared.copy()
+    open_ = np.flatnonzero((common >= LENGTH) & (to >= 0))
+    to[common < LENGTH] = -1
+    while len(open_):
+        open_ = open_[doc[to[open_]] >= doc[open_]]
+        over = to[open_]
+        common[open_] = np.minimum(common[open_], common[over])
+        to[open_] = to[over]
+        open_ = open_[to[open_] >= 0]
+    return to, np.where(to >= 0, common, 0)
+
+
+def longest_previous(data: np.ndarray, at: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Longest previous factors of the suffixes at ``at``, as far as they reach LENGTH.
+
+    The suffix that shares the most with one and starts in a smaller document is the nearest
+    such one before or after it in suffix order. Returns the factor's length (LENGTH,
+    or 0 where it is shorter) and the smaller document, or the suffix's own.
+    """
+    order, shared = suffix_order(data, at)
+    mine = doc[order]
+    before, left = _smaller(mine, shared)
+    # What follows is what comes before in the reversed order.
+    after, right = _smaller(mine[::-1], np.r_[0, shared[1:][::-1]])
+    after, right = len(at) - 1 - after[::-1], right[::-1]
+    factor = np.maximum(left, right)
+    least = np.where(left > 0, mine[before], mine)
+    least = np.minimum(least, np.where(right > 0, mine[np.minimum(after, len(at) - 1)], mine))
+    lengths, found = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+    lengths[order], found[order] = factor, least
+    return lengths, found
 
 
 def _tell_pieces(table: pa.Table) -> pa.Table:
@@ -329,7 +381,7 @@ def _tell_pieces(table: pa.Table) -> pa.Table:
     np.minimum.at(least, same, doc)
     n = size[one] - LENGTH + 1
     step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    found = _previous(data, np.repeat(start[one], n) + step, np.repeat(least, n))
+    _, found = longest_previous(data, np.repeat(start[one], n) + step, np.repeat(least, n))
     # Runs of windows with one smallest document.
     edge = np.r_[True, (found[1:] != found[:-1])][: len(found)] | (step == 0)
     at = np.flatnonzero(edge)
