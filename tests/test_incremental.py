@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from clickloom import schemas, shapes
 from clickloom.operators.keyindex import KeyIndex
-from clickloom.operators.merge import MergeSpec, merge_frames, merge_table
+from clickloom.operators.merge import MergeSpec, _within, merge_frames, merge_table
 from clickloom.operators.rows import explode_items, upto
 from clickloom.operators.dedupe import latest_per_key
 from clickloom.operators.skew import spread_join
 from clickloom.plans import events, identity, interactions
 from clickloom.plans.layout import Layout
 from clickloom.sources import files, tables
-from clickloom.sources.versions import Progress, partition_versions
+from clickloom.sources.versions import Progress, on_days, partition_versions
 
 DAY = [f"2024-01-{d:02}" for d in range(1, 31)]
 
@@ -260,3 +260,20 @@ def test_upto_of_listed_days(spark, db):
     assert listed_days(spark, f"{db}.t", "2024-01-04") == ["2024-01-03"]
     assert gate(lambda: bool(listed_days(spark, f"{db}.none"))) is False
     assert upto(spark.table(f"{db}.t"), "2024-01-04").count() == 1
+
+
+def days_read(df):
+    return sorted({part.split("=")[1] for path in df.inputFiles() for part in path.split("/") if part.startswith("partition_date=")})
+
+
+def test_scans_are_pruned_to_what_changed(spark, db, sf_dir):
+    name = f"{db}.raw"
+    raw = shapes.raw_data(spark, sf_dir)
+    tables.ensure_table(spark, name, raw.schema, ["partition_date"])
+    tables.append(spark, name, raw)
+    days = sorted(partition_versions(spark, name))
+    assert days_read(spark.table(name)) == days
+    assert days_read(identity.device_days(spark.table(name).where(on_days(days[2:3])))) == days[2:3]
+    some = raw.where(F.col("partition_date").isin([date.fromisoformat(d) for d in days[3:5]]))
+    assert days_read(spark.table(name).where(_within(some, ["partition_date"]))) == days[3:5]
+    assert days_read(spark.table(name).where(_within(some.limit(0), ["partition_date"]))) == []

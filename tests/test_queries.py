@@ -1,5 +1,7 @@
 """Every registered query against its SQL counterpart."""
 
+import sys
+
 import duckdb
 import pytest
 
@@ -52,3 +54,9 @@ def test_export_is_ordered(spark, duck, sf_dir):
     found = duck.execute(entry_point.oracle_sql()[name])
     names = [d[0] for d in found.description]
     assert [tuple(r) for r in df.select(*names).collect()] == found.fetchall()
+
+
+def test_entry_point_without_the_training_data_operators(monkeypatch):
+    """Also where a folder is left over, or one of their libraries is missing."""
+    monkeypatch.setitem(sys.modules, "clickloom.llm.oracle", None)
+    assert entry_point.queries() == QUERIES and entry_point.oracle_sql() == ORACLE
