@@ -113,8 +113,11 @@ def near_vectors(
     or hold NULL or non-finite components, link with nothing. Equal vectors are one node
     with a count; every row counts as a vector, one that repeats an id too. Vectors of
     different lengths do not link. Rows without an id are left out; further columns are
-    ignored; an empty table gives no rows.
+    ignored; an empty table gives no rows. The hashes are made for a ``cosine`` of 0.93 or
+    more; less raises, as links would be lost.
     """
+    if cosine < 0.93:
+        raise ValueError("the hashes find pairs with a cosine of 0.93 or more")
     spark = vectors.sparkSession
     # Components keep their type on the way to the tasks; single precision halves the volume.
     kind = np.float32 if vectors.schema[vector_column].dataType.simpleString() == "array<float>" else np.float64

@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from clickloom.llm import near_vectors, top_k
+from clickloom.llm import near_text, near_vectors, top_k
 from plain import components
 
 NAN, INF = float("nan"), float("inf")
@@ -96,3 +96,11 @@ def test_empty(planted):
     none = planted.where("vec_id > 9999")
     assert near_vectors.near_vectors(none).collect() == []
     assert top_k.top_k(none, F.col("vec_id") == 0).collect() == []
+
+
+def test_similarities_below_the_hashes_raise(spark):
+    vectors = spark.createDataFrame([(1, [1.0], "a")], "vec_id bigint, embedding array<double>, label string")
+    with pytest.raises(ValueError):
+        near_vectors.near_vectors(vectors, cosine=0.9)
+    with pytest.raises(ValueError):
+        near_text.near_duplicates(spark.createDataFrame([(1, "a")], "doc_id bigint, text string"), percent=70)
