@@ -104,3 +104,28 @@ def test_similarities_below_the_hashes_raise(spark):
         near_vectors.near_vectors(vectors, cosine=0.9)
     with pytest.raises(ValueError):
         near_text.near_duplicates(spark.createDataFrame([(1, "a")], "doc_id bigint, text string"), percent=70)
+
+
+def _pairs(spark, slices=2, groups=3):
+    """The plan that scores two queries against four candidates."""
+    vectors = [(i, i, 2, [i, 1]) for i in range(4)]
+    rows_ = spark.createDataFrame(vectors, "id bigint, h bigint, dim int, v array<bigint>").withColumn("g", (F.col("id") % groups).cast("int"))
+    blocks = rows_.select("g", "dim", "id", "h", "v").mapInArrow(top_k._packer(np.int16), top_k.BLOCK)
+    asked = rows_.where("id < 2").selectExpr("id", "h", "dim", "v", "CAST(NULL AS BIGINT) base", "3L need")
+    return top_k._scored(asked, blocks, (slices, groups), np.int16, 3, 100.0, None, 0)
+
+
+def test_copied_blocks_are_not_broadcast(spark):
+    """Copies of the query blocks are many times what the planner takes them for."""
+    plan = _pairs(spark)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert rows(_pairs(spark)) == rows(_pairs(spark, slices=1, groups=1))
+    assert {r[0] for r in _pairs(spark).collect()} == {0, 1}
+
+
+def test_grid_copies_no_side_to_all_cells():
+    """The blocks moved in a round grow with the square root of the cells, not with the cells."""
+    for queries in (1, 1000, 100_000):
+        slices, groups = top_k._grid(400, 100_000, queries)
+        assert slices * groups >= 400
+        assert queries * groups + 100_000 * slices <= 2.2 * max(100_000, (400 * queries * 100_000) ** 0.5)
