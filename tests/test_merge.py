@@ -6,8 +6,9 @@ import random
 import pytest
 from conftest import rows
 
-from clickloom.operators import MergeSpec, merge_frames, merge_insert_only, merge_table, new_rows
+from clickloom.operators import MergeSpec, merge, merge_frames, merge_insert_only, merge_table, new_rows
 from clickloom.sources import tables
+from clickloom.workspace import stage_split
 
 SPEC = MergeSpec(("k",), "v", ("v",))
 
@@ -152,3 +153,36 @@ def test_failed_merge_changes_nothing(spark, db):
     with pytest.raises(Exception, match="more than one source row"):
         merge_table(spark, name, frame(spark, [(1, 7, 0), (1, 8, 0), (2, 2, 0)]), SPEC)
     assert rows(spark.table(name)) == [(1, 1, 0)]
+
+
+def test_changes_kept_once_are_joined_once(spark):
+    """Updates and inserts take other columns of the change set; kept, it is not joined for each of them."""
+    target = frame(spark, [(1, 1, 1), (2, 2, 2), (2, 3, 2), (None, 4, 4)])
+    source = frame(spark, [(1, 5, 1), (2, 2, 7), (3, 3, 3), (None, 4, 4)])
+    lazy, once = merge_frames(target, source, SPEC), merge_frames(target, source, SPEC, once=True)
+    assert rows(once) == rows(lazy)
+
+    def joins(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+
+    assert (joins(lazy), joins(once)) == (3, 1)
+
+
+def test_rows_of_an_indexed_merge_are_shuffled_without_hashes(spark, db, monkeypatch):
+    """The source meets what changed by hashes that are computed where they are compared."""
+    plans = []
+
+    def spy(change, *args):
+        plans.append(change._jdf.queryExecution().optimizedPlan().toString())
+        return stage_split(change, *args)
+
+    monkeypatch.setattr(merge, "stage_split", spy)
+    target = frame(spark, [(1, 1, 1), (2, 2, 2)])
+    tables.ensure_table(spark, f"{db}.t", target.schema, ["x"])
+    tables.append(spark, f"{db}.t", target)
+    spec = MergeSpec(("k", "v"), indexed=True)
+    merge_table(spark, f"{db}.t", frame(spark, [(1, 1, 1), (1, 9, 1), (3, 3, 3), (3, 3, 3), (None, 1, 1)]), spec)
+    assert rows(spark.table(f"{db}.t")) == rows(frame(spark, [(1, 1, 1), (2, 2, 2), (1, 9, 1), (3, 3, 3), (3, 3, 3), (None, 1, 1)]))
+    # The upper join's condition has the hash functions, not hash columns of the source.
+    top = next(line for line in plans[0].splitlines() if "Join Inner" in line)
+    assert top.count("xxhash64(") >= 3
