@@ -186,3 +186,29 @@ def test_shuffles_of_what_is_written_are_freed(spark, write):
         time.sleep(0.2)
     assert not left
     assert spark.conf.get(name, None) == setting
+
+
+def test_many_small_days_are_written_by_many_tasks(spark, db):
+    """A file costs more than the few rows of a day, so the days are dealt over the cores."""
+    days_ = spark.range(4000).select("id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 400).cast("int")).alias("partition_date"))
+    tables.ensure_table(spark, f"{db}.t", days_.schema, ["partition_date"])
+    tables.append(spark, f"{db}.t", days_)
+    files = spark.table(f"{db}.t").inputFiles()
+    assert len(files) == 400
+    assert len({f.rsplit("/part-", 1)[1][:5] for f in files}) > 1
+    assert spark.table(f"{db}.t").count() == 4000
+
+
+def test_days_are_not_cut_where_none_is_large(spark, db):
+    """What is too much for one task is many days, not parts of each of them."""
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advisory)
+    day_ = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 400).cast("int"))
+    days_ = spark.range(0, 40_000, 1, 8).select(F.xxhash64("id").alias("id"), day_.alias("partition_date"))
+    tables.ensure_table(spark, f"{db}.t", days_.schema, ["partition_date"])
+    spark.conf.set(advisory, "32k")
+    try:
+        tables.append(spark, f"{db}.t", days_)
+    finally:
+        spark.conf.set(advisory, before)
+    assert len(spark.table(f"{db}.t").inputFiles()) == 400
